@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliomill.workers import ship
+
 #: Rows and bytes handed to a Python worker at once; a longer text comes alone.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
@@ -61,6 +63,7 @@ def dropped(df: DataFrame) -> None:
 
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     bounded_batches(df.sparkSession)
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import mixing, pii, repeats, secrets, tokens, warc
+from foliomill.llm import minhash, mixing, pii, repeats, secrets, tokens, warc
 from foliomill.llm.common import table
 
 TOKENIZERS = os.environ.get("FOLIOMILL_TOKENIZERS", "/opt/tokenizers")
@@ -22,6 +22,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{VOCABULARY}")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.quality(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -42,6 +46,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
@@ -50,6 +55,19 @@ QUERIES = {
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+_OP5 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS z FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+h AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.z = b.z AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM h JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+both AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT DISTINCT a AS start, a AS at FROM both UNION SELECT r.start, both.b FROM r JOIN both ON both.a = r.at),
+c AS (SELECT start AS doc_id, min(at) AS component_id FROM r GROUP BY start)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
 _OP6 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '{WORD}') AS words FROM d),
@@ -124,4 +142,4 @@ r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN t
 SELECT doc_id, size, source_size, target, (floor(k * each_ + u) - floor((k - 1) * each_ + u))::BIGINT * size AS taken FROM r
 """
 
-ORACLES = {"op6_quality_rules": _OP6, "op8_secrets": _OP8, "op9_warc": _OP9, "op10_mixing": _OP10}
+ORACLES = {"op5_near_duplicates": _OP5, "op6_quality_rules": _OP6, "op8_secrets": _OP8, "op9_warc": _OP9, "op10_mixing": _OP10}
