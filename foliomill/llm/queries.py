@@ -7,13 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import minhash, mixing, pii, repeats, secrets, tokens, warc
+import corpus_pipeline
+from foliomill.llm import minhash, mixing, pii, preferences, repeats, secrets, templates, tokens, warc, weak
 from foliomill.llm.common import table
 
 TOKENIZERS = os.environ.get("FOLIOMILL_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "piece_bpe_32k.model"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -22,6 +27,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{VOCABULARY}")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return weak.scored(documents, weak.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,6 +40,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.quality(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, turns of the prompt, status, SHA-256 of the three texts, masks as text."""
+    spelled = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    x = preferences.formatted(preferences.answer_pairs(table(spark, sf_dir, "conversations")))
+    return x.select(F.col("id").alias("conv_id"), "prompt_turns", "status", F.sha2("prompt", 256).alias("prompt_sha256"), F.sha2("chosen", 256).alias("chosen_sha256"), F.sha2("rejected", 256).alias("rejected_sha256"), spelled("chosen_mask").alias("chosen_mask"), spelled("rejected_mask").alias("rejected_mask"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.verdicts(table(spark, sf_dir, "documents"))
 
@@ -44,26 +61,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 _OP5 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS z FROM d),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS z FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 h AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.z = b.z AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM h JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
-both AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-r AS (SELECT DISTINCT a AS start, a AS at FROM both UNION SELECT r.start, both.b FROM r JOIN both ON both.a = r.at),
-c AS (SELECT start AS doc_id, min(at) AS component_id FROM r GROUP BY start)
+sym AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT DISTINCT a AS start, a AS node FROM sym UNION SELECT r.start, sym.b FROM r JOIN sym ON sym.a = r.node),
+c AS (SELECT start AS doc_id, min(node) AS component_id FROM r GROUP BY start)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
@@ -89,6 +110,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR too_long) AS kept FROM x
 """
 
+_OP7 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id),
+p AS (SELECT c.conv_id, a.last_turn, b.answer AS other, a.answer FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN a USING (conv_id) LEFT JOIN a b ON b.conv_id = xor(c.conv_id, 1::BIGINT)),
+s AS (SELECT conv_id, CASE WHEN last_turn IS NULL OR other IS NULL THEN 'no rejected' WHEN n_after = 0 AND answer = other THEN 'equal' ELSE 'pair' END AS status, last_turn, other,
+  CASE WHEN last_turn IS NULL OR other IS NULL THEN -9223372036854775808 WHEN answer = other THEN last_turn + 1 ELSE last_turn END AS cut
+  FROM (SELECT p.*, (SELECT count(*) FROM t WHERE t.conv_id = p.conv_id AND t.turn > p.last_turn) AS n_after FROM p)),
+r AS (SELECT s.conv_id, status, 'chosen' AS side, turn, role, text, turn < cut AS prompt FROM s JOIN t USING (conv_id)
+  UNION ALL SELECT s.conv_id, status, 'rejected', turn, role, CASE WHEN turn = last_turn THEN other ELSE text END, turn < cut FROM s JOIN t USING (conv_id) WHERE status <> 'no rejected' AND turn <= last_turn),
+m AS (SELECT *, '<|im_start|>' || role || chr(10) AS head, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS line FROM r),
+o AS (SELECT *, coalesce(sum(length(line)) FILTER (NOT prompt) OVER (PARTITION BY conv_id, side ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM m),
+g AS (SELECT conv_id, status, count(*) FILTER (prompt AND side = 'chosen') AS prompt_turns,
+  coalesce(string_agg(line, '' ORDER BY turn) FILTER (prompt AND side = 'chosen'), '') AS prompt,
+  coalesce(string_agg(line, '' ORDER BY turn) FILTER (NOT prompt AND side = 'chosen'), '') AS chosen,
+  coalesce(string_agg(line, '' ORDER BY turn) FILTER (NOT prompt AND side = 'rejected'), '') AS rejected,
+  coalesce(string_agg((off + length(head)) || ':' || (off + length(line)), ',' ORDER BY turn) FILTER (NOT prompt AND side = 'chosen' AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg((off + length(head)) || ':' || (off + length(line)), ',' ORDER BY turn) FILTER (NOT prompt AND side = 'rejected' AND role = 'assistant'), '') AS rejected_mask
+  FROM o GROUP BY conv_id, status)
+SELECT conv_id, prompt_turns::INT AS prompt_turns, status, sha256(prompt) AS prompt_sha256, sha256(chosen) AS chosen_sha256,
+  CASE WHEN status <> 'no rejected' THEN sha256(rejected) END AS rejected_sha256, chosen_mask, CASE WHEN status <> 'no rejected' THEN rejected_mask END AS rejected_mask FROM g
+"""
+
 _ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 
 
@@ -142,4 +185,4 @@ r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN t
 SELECT doc_id, size, source_size, target, (floor(k * each_ + u) - floor((k - 1) * each_ + u))::BIGINT * size AS taken FROM r
 """
 
-ORACLES = {"op5_near_duplicates": _OP5, "op6_quality_rules": _OP6, "op8_secrets": _OP8, "op9_warc": _OP9, "op10_mixing": _OP10}
+ORACLES = {"op5_near_duplicates": _OP5, "op6_quality_rules": _OP6, "op7_chat_formatting": _OP7, "op8_secrets": _OP8, "op9_warc": _OP9, "op10_mixing": _OP10}
