@@ -8,7 +8,8 @@
    bucket, never all pairs of it.  The pair with the best signature of each
    document is confirmed first; of the rest, only pairs whose ends are still apart.
 3. Members of a bucket that are still in different components after that are
-   compared with each other, so no link in a bucket is lost.
+   compared with each other where their rarest shingles allow a link, so that no
+   link in a bucket is lost and no pairs are made of those that are merely alike.
 4. Components come from alternating large-star and small-star.
 
 With 45 bands of 5 rows a pair at similarity 0.75 shares no band with
@@ -179,20 +180,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     more = confirmed(_apart(pairs.select("a", "b"), stars), texts, percent)
     stars = components(stars.unionByName(more))
 
-    # members of a bucket, its head aside, that are still apart
-    members = hits.select("key", "id").join(moved, "id", "left").select("key", F.coalesce("rep", "id").alias("id")).distinct()
-    members = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("of")), "id", "left").select("key", "id", F.coalesce("of", "id").alias("of"))
-    open_keys = members.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("key")
-    open_members = stored(members.join(open_keys, "key"), "open")
-    if not open_members.isEmpty():
-        left = open_members.select("key", F.col("id").alias("a"), F.col("of").alias("of_a"))
-        right = open_members.select("key", F.col("id").alias("b"), F.col("of").alias("of_b"))
-        rest = left.join(right, "key").where("of_a > of_b").select("a", "b").distinct()
-        rest = agreeing(rest, sketch_of_reps(sketch, moved)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        rest = stored(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-        if not rest.isEmpty():
-            more = confirmed(rest, texts_of(df, _ends(rest), id_col, text_col), percent)
-            stars = components(stars.unionByName(more))
+    rest = stored(still_apart(df, sketch, hits, moved, stars, id_col, text_col, percent), "apart")
+    rest = agreeing(rest, signatures_of_reps(sketch, moved)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    rest = stored(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        stars = components(stars.unionByName(confirmed(rest, texts_of(df, _ends(rest), id_col, text_col), percent)))
 
     of_copies = moved.join(stars.select(F.col("a").alias("rep"), F.col("b").alias("of")), "rep", "left").select("id", F.coalesce("of", "rep").alias("of"))
     of_reps = stars.select(F.col("a").alias("id"), F.col("b").alias("of"))
@@ -201,7 +193,54 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def sketch_of_reps(sketch: DataFrame, moved: DataFrame) -> DataFrame:
+def signatures_of_reps(sketch: DataFrame, moved: DataFrame) -> DataFrame:
     """Signatures by class representative."""
     x = sketch.where("sig is not null").select("id", "sig").join(moved, "id", "left")
     return x.select(F.coalesce("rep", "id").alias("id"), "sig").dropDuplicates(["id"])
+
+
+def set_rows(texts: DataFrame) -> DataFrame:
+    """id and shingle set of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+
+    return mapped(texts, run, "id long, s array<bigint>")
+
+
+def still_apart(df: DataFrame, sketch: DataFrame, hits: DataFrame, moved: DataFrame, stars: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Pairs (a, b) of bucket members, heads aside, that are in different components and may be similar: none that is similar is left out.
+
+    A bucket of many documents that are somewhat, but not enough, alike would make
+    pairs with the square of its size.  So members are paired by prefix instead: with
+    shingles ordered by how many members have them, rarest first, two sets with the
+    required overlap share one that leaves at least that overlap from its place on
+    in both.  A document's prefix is cut by the smallest size in its buckets.
+    Shingles that one component alone has in its prefixes make no pairs.
+    """
+    members = hits.select("key", "id").join(moved, "id", "left").select("key", F.coalesce("rep", "id").alias("id")).distinct()
+    members = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("of")), "id", "left").select("key", "id", F.coalesce("of", "id").alias("of"))
+    sizes = sketch.where("id is not null").groupBy("id").agg(F.max("n_shingles").alias("n"))
+    open_keys = members.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("key")
+    opened = stored(members.join(open_keys, "key").join(sizes, "id"), "open")
+    least = opened.groupBy("key").agg(F.min("n").alias("least"))
+    who = opened.join(least, "key").groupBy("id").agg(F.min("of").alias("of"), F.min("least").alias("least"))
+    # required overlap: percent / (100 + percent) of both sizes together; the smaller size is percent of the larger at least
+    other = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    sets = set_rows(texts_of(df, who.select("id"), id_col, text_col)).join(who, "id").withColumn("n", F.size("s"))
+    sets = stored(sets.withColumn("prefix", F.col("n") - F.ceil((F.col("n") + other) * percent / (100 + percent)) + 1), "sets")
+    elements = sets.select("id", F.explode("s").alias("h"))
+    common = elements.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # shingles that no other member has come first; they only take up places
+    ordered = elements.join(common, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("x"))
+    x = sets.select("id", "of", "n", "prefix").join(ordered, "id").withColumn("alone", F.col("n") - F.size("x"))
+    places = F.col("prefix") - F.col("alone")
+    probes = x.where(places > 0).select("id", "of", "n", "alone", F.posexplode(F.slice("x", F.lit(1), places.cast("int"))).alias("at", "y"))
+    probes = stored(probes.select("id", "of", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left_over"), F.col("y.h").alias("h")), "probes")
+    shared = probes.groupBy("h").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("h")
+    probes = probes.join(shared, "h")
+    a, b = (probes.select("h", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "of", "n", "left_over"))) for side in ("a", "b"))
+    needed = (F.col("n_a") + F.col("n_b")) * percent
+    enough = (F.col("left_over_a") * (100 + percent) >= needed) & (F.col("left_over_b") * (100 + percent) >= needed)
+    return a.join(b, "h").where((F.col("of_a") > F.col("of_b")) & enough).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
