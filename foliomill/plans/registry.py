@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from foliomill.plans import counting, ranking, relating
+
+FAMILIES = (counting, relating, ranking)
+QUERIES = {name: query for family in FAMILIES for name, query in family.QUERIES.items()}
+ORACLES = {name: sql for family in FAMILIES for name, sql in family.ORACLES.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal text."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return documents.groupBy(F.sha2("text", 256).alias("digest")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return counting.duplicate_groups(spark, sf_dir)
