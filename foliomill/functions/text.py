@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -73,17 +74,27 @@ def tokens(column: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(column, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, though body uses it in inner functions."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def shingles(words: Column, k: int, joint: str = " ") -> Column:
     """Distinct k-word shingles of an array; all of it as one if it is shorter; empty for empty."""
-    n = F.size(words)
-    windows = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(words, i, F.lit(k)), joint))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(windows))
+
+    def of(w: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(k)), joint))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(windows))
+
+    return let(words, of)
 
 
 def character_shingles(column: Column, k: int = 5) -> Column:
-    n = F.length(column)
-    windows = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.substring(column, i, F.lit(k)))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(windows))
+    def of(t: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - (k - 1), F.lit(1))), lambda i: F.substring(t, i, F.lit(k)))
+        return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(windows))
+
+    return let(column, of)
 
 
 def masked_digits(column: Column) -> Column:

@@ -18,7 +18,7 @@ from foliomill.workers import ship
 #: Guards (fixed values).
 LONGEST_LINE, MOST_ROWS, DEEPEST, MOST_ITEMS, LONGEST_STRING = 16 << 20, 300_000, 32, 100_000, 4 << 20
 CORPUS_FIELDS = ("id", "language", "domain", "text", "source_type", "source", "license")
-CORPUS_LICENSES = ("cc0", "cc-by", "cc-by-sa", "public-domain", "synthetic", "original", "mit", "apache-2.0")
+CORPUS_LICENSES = ("CC-BY-4.0", "MIT", "Apache-2.0", "CC0-1.0", "ODbL-1.0", "open_data", "curated", "public_domain")
 
 
 def jsonl_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -108,7 +108,7 @@ def corpus(spark: SparkSession, path: str, licenses: tuple[str, ...] = CORPUS_LI
     schema = StructType.fromDDL(", ".join(f"{c} string" for c in CORPUS_FIELDS) + ", allowed_layouts array<string>, tags array<string>")
     rows = jsonl_guarded(spark, path, schema)
     missing = F.array_join(F.array_compact(F.array(*(F.when(F.coalesce(F.col(c), F.lit("")) == "", c) for c in CORPUS_FIELDS))), ",")
-    reason = F.when(missing != "", F.concat(F.lit("missing "), missing)).when(~F.lower("license").isin(*licenses), "license")
+    reason = F.when(missing != "", F.concat(F.lit("missing "), missing)).when(~F.col("license").isin(*licenses), "license")
     checked = rows.withColumn("reason", reason)
     return checked.where("reason is null").drop("reason"), checked.where("reason is not null")
 
