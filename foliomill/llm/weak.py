@@ -47,27 +47,61 @@ TOXIC = ("insults", "insult_share")
 _ALL_SYMBOLS = bytes(set(range(256)) - set(SYMBOLS))
 
 
-def votes(text: str | None) -> tuple[list[int], list[int], list[bytes]]:
-    """Votes of the quality labellers, those of the toxicity labellers (1: toxic), and the words in lower case without outer punctuation."""
+class Words(dict):
+    """Numbers the words that a worker meets, and keeps what the labellers ask of each; starts anew between texts when it is full."""
+
+    most = 300_000
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.low: list[bytes] = []
+        self.loud, self.insult = bytearray(), bytearray()
+        self.generation = 0
+
+    def __missing__(self, raw: bytes) -> int:
+        self[raw] = n = len(self)
+        low = raw.lower().strip(b".,;:!?\"'()[]#*$%&|")
+        self.low.append(low)
+        self.loud.append(len(raw) > 3 and raw.isupper())
+        self.insult.append(low in INSULTS)
+        return n
+
+    def numbers(self, raw: bytes) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+            self.low.clear()
+            self.loud, self.insult = bytearray(), bytearray()
+            self.generation += 1
+        words = raw.split()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def count(self, flags: bytearray, numbers: np.ndarray) -> int:
+        return int(np.frombuffer(flags, np.uint8)[numbers].sum())
+
+
+_words = Words()
+
+
+def votes(text: str | None) -> tuple[list[int], list[int], np.ndarray]:
+    """Votes of the quality labellers, those of the toxicity labellers (1: toxic), and the words' numbers."""
     raw = utf8(text)
-    words = raw.split()
+    words = _words.numbers(raw)
     n = len(words)
     if not n:
-        return [-1, -1, -1, -1, -1, 0, -1], [-1, -1], []
+        return [-1, -1, -1, -1, -1, 0, -1], [-1, -1], words
     symbols = len(raw.translate(None, _ALL_SYMBOLS)) / len(raw.translate(None, _SPACES))
-    loud = sum([w.isupper() and len(w) > 3 for w in words]) / n
-    bars = words.count(b"|") / n
+    loud = _words.count(_words.loud, words) / n
+    bars = int((words == _words[b"|"]).sum()) / n
     long = n >= 12
-    distinct = len(set(words)) / n**0.8
-    pairs = len(set(zip(words, words[1:], strict=False))) / max(1, n - 1)
-    same = sum([a == b for a, b in zip(words, words[1:], strict=False)]) / n
-    low = [w.strip(b".,;:!?\"'()[]#*$%&|") for w in raw.lower().split()]
-    insulting = sum(map(INSULTS.__contains__, low))
+    distinct = len(np.unique(words)) / n**0.8
+    pairs = len(np.unique(words[:-1] << 32 | words[1:])) / max(1, n - 1)
+    same = int((words[:-1] == words[1:]).sum()) / n
+    insulting = _words.count(_words.insult, words)
     bad = lambda is_bad: 0 if is_bad else -1
     calm = symbols < 0.02 and loud < 0.05 and bars < 0.05 and same < 0.1
     quality = [bad(symbols > 0.04), bad(loud > 0.2), bad(bars > 0.1), bad(long and (pairs < 0.5 or same > 0.25)), bad(long and distinct < 0.3), -1, 1 if calm and (not long or pairs > 0.8) else -1]
     toxic = [1 if insulting >= 2 else -1, 1 if insulting / n > 0.01 else -1]
-    return quality, toxic, low
+    return quality, toxic, words
 
 
 def vote_key(found: list[int]) -> str:
@@ -121,11 +155,14 @@ def _place(feature: bytes) -> int:
     return xxhash.xxh64_intdigest(feature) % DIMENSIONS
 
 
-@lru_cache(maxsize=1 << 17)
 def _parts(word: bytes) -> tuple[int, tuple[tuple[int, int, int], ...]]:
     """Place of a word, and of each of its beginnings that of one, two, three occurrences."""
     text = word.decode("utf-8", "replace")
-    return _place(b"w" + word), tuple(tuple(_place(b"%d%s" % (k, p.encode())) for k in (1, 2, 3)) for p in {text[:5], text[:7]})
+    begins = []
+    for p in {text[:5], text[:7]}:
+        h = xxhash.xxh64_intdigest(p.encode(), 1)
+        begins.append((h % DIMENSIONS, (h >> 20) % DIMENSIONS, (h >> 40) % DIMENSIONS))
+    return _place(word), tuple(begins)
 
 
 def _named(quality: list[int], toxic: list[int]) -> list[int]:
@@ -134,16 +171,17 @@ def _named(quality: list[int], toxic: list[int]) -> list[int]:
 
 def features(text: str | None) -> np.ndarray:
     """Places of all features of a text, distinct."""
-    quality, toxic, low = votes(text)
+    quality, toxic, words = votes(text)
     places, begun = set(_named(quality, toxic)), Counter()
-    for word, times in Counter(low).items():
-        if word:
+    numbers, times = np.unique(words, return_counts=True)
+    for number, n in zip(numbers.tolist(), times.tolist(), strict=True):
+        if word := _words.low[number]:
             own, begins = _parts(word)
             places.add(own)
             for b in begins:
-                begun[b] += times
-    for b, times in begun.items():
-        places.update(b[:times])
+                begun[b] += n
+    for b, n in begun.items():
+        places.update(b[:n])
     return np.fromiter(places, np.int64, len(places))
 
 
@@ -173,22 +211,34 @@ class Scorer:
 
     def __init__(self, quality: np.ndarray, toxic: np.ndarray):
         self.weights = np.stack([quality, toxic]).astype(np.float64)
-        self.active = self.weights[:, :-1].any(axis=0)
-        self.known = Remembered(self._look)
+        self.active = bytearray(self.weights[:, :-1].any(axis=0).astype(np.uint8))
+        self.named = lru_cache(maxsize=4096)(lambda quality, toxic: tuple(_named(list(quality), list(toxic))))
+        self.forget()
 
-    def _look(self, word: bytes) -> tuple[int, tuple] | None:
+    def forget(self) -> None:
+        self.generation, self.looked, self.found = _words.generation, bytearray(), {}
+
+    def _look(self, number: int, word: bytes) -> int:
         if not word:
-            return None
+            return 0
         own, begins = _parts(word)
-        begins = tuple(b for b in begins if self.active[list(b)].any())
-        return (own, begins) if begins or self.active[own] else None
+        begins = tuple(b for b in begins if any(self.active[k] for k in b))
+        if begins or self.active[own]:
+            self.found[number] = (own, begins)
+            return 1
+        return 0
 
     def __call__(self, text: str | None) -> tuple[float, float]:
-        quality, toxic, low = votes(text)
-        places, begun = set(_named(quality, toxic)), Counter()
-        for found in filter(None, map(self.known.__getitem__, low)):
-            places.add(found[0])
-            for b in found[1]:
+        quality, toxic, words = votes(text)
+        if self.generation != _words.generation:
+            self.forget()
+        for number in range(len(self.looked), len(_words.low)):
+            self.looked.append(self._look(number, _words.low[number]))
+        places, begun = set(self.named(tuple(quality), tuple(toxic))), Counter()
+        for number in words[np.frombuffer(self.looked, np.uint8)[words] > 0].tolist():
+            own, begins = self.found[number]
+            places.add(own)
+            for b in begins:
                 begun[b] += 1
         for b, times in begun.items():
             places.update(b[:times])
