@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.functions.geometry import area, box_valid, boxes_intersect, contains, inverse_holds, overlap_ratio, polygon_inside, polygons_intersect
-from foliomill.functions.text import KAZAKH_ONLY, canonical_language, dates_in, layout_family, mixes_scripts
+from foliomill.functions.text import KAZAKH_ONLY, canonical_language, dates_in, layout_family, let, mixes_scripts
 from foliomill.functions.unicode import nfc
 from foliomill.schema import ISSUE
 
@@ -116,9 +116,9 @@ def invalid_zone_box() -> Column:
 
 
 def invalid_reading_order() -> Column:
-    orders = F.transform(F.filter(F.col(Z), valid), lambda z: z["reading_order"])
-    ok = F.filter(F.col(Z), valid)
-    return F.coalesce(F.flatten(F.transform(ok, lambda z, i: when(F.array_position(orders, z["reading_order"]) <= i, issue("invalid_reading_order", "error", "the reading order is taken", z["zone_id"])))), _none())
+    sound = F.transform(F.filter(F.col(Z), valid), lambda z: F.struct(z["zone_id"].alias("zone_id"), z["reading_order"].alias("order")))
+    taken = lambda all_, orders: F.transform(all_, lambda z, i: when(F.array_position(orders, z["order"]) <= i, issue("invalid_reading_order", "error", "the reading order is taken", z["zone_id"])))
+    return F.coalesce(let(sound, lambda x: let(F.transform(x, lambda z: z["order"]), lambda orders: F.flatten(taken(x, orders)))), _none())
 
 
 def body_justify() -> Column:
@@ -188,19 +188,23 @@ def excessive_duplicates(most: int = 4) -> Column:
     of = lambda z: F.concat(F.coalesce(F.transform(z["lines"], lambda x: pair(x["text"], kind(z))), none), F.coalesce(F.transform(z["cells"], lambda x: pair(x["text"], F.coalesce(x["metadata"]["value_type"], F.lit("None")))), none))
     found = F.filter(F.flatten(F.transform(F.col(Z), of)), lambda x: F.length(x["text"]) > F.when(x["kind"] == "body_line", 32).otherwise(3))
     found = F.filter(found, lambda x: ~x["kind"].isin("sequence", "date", "amount", "department", "score", "status"))
-    return when(F.exists(F.array_distinct(found), lambda x: F.size(F.filter(found, lambda y: y == x)) > most), issue("excessive_duplicates", "warning", "one text occurs too often"))
+    often = let(found, lambda all_: F.exists(F.array_distinct(all_), lambda x: F.size(F.filter(all_, lambda y: y == x)) > most))
+    return when(often, issue("excessive_duplicates", "warning", "one text occurs too often"))
 
 
 def excessive_overlap() -> Column:
     box = lambda z: F.coalesce(z["metadata"]["source_bbox"], z["bbox"])
-    solid = F.filter(F.col(Z), lambda z: ~F.coalesce(is_type(*NO_TEXT_ZONES)(z), F.lit(False)))
+    solid = F.transform(F.filter(F.col(Z), lambda z: ~F.coalesce(is_type(*NO_TEXT_ZONES)(z), F.lit(False))), lambda z: F.struct(z["zone_id"].alias("zone_id"), box(z).alias("box")))
 
-    def rule(z: Column, i: Column) -> Column:
-        later = F.slice(solid, i + 2, F.size(solid))
-        hits = F.filter(later, lambda y: overlap_ratio(box(z), box(y)) > LIMITS["overlap"])
-        return F.transform(hits, lambda _: issue("excessive_overlap", "error", "two zones overlap", z["zone_id"]))
+    def of(boxes: Column) -> Column:
+        def rule(z: Column, i: Column) -> Column:
+            later = F.slice(boxes, i + 2, F.size(boxes))
+            hits = F.filter(later, lambda y: overlap_ratio(z["box"], y["box"]) > LIMITS["overlap"])
+            return F.transform(hits, lambda _: issue("excessive_overlap", "error", "two zones overlap", z["zone_id"]))
 
-    return F.coalesce(F.flatten(F.transform(solid, rule)), _none())
+        return F.flatten(F.transform(boxes, rule))
+
+    return F.coalesce(let(solid, of), _none())
 
 
 # --- rules of what was rendered
@@ -297,7 +301,8 @@ def empty_page() -> Column:
 def dates_and_signatures() -> Column:
     dated = F.filter(F.col(Z), lambda z: F.coalesce(valid(z) & z["metadata"]["date_role"].isNotNull(), F.lit(False)))
     pairs = F.flatten(F.transform(dated, lambda z: F.transform(dates_in(z["text"]), lambda d: F.struct(d.alias("date"), z["metadata"]["date_role"].alias("role")))))
-    repeated = F.filter(F.array_distinct(F.transform(pairs, lambda p: p["date"])), lambda d: (F.size(F.filter(pairs, lambda p: p["date"] == d)) > 1) & (F.size(F.array_distinct(F.transform(F.filter(pairs, lambda p: p["date"] == d), lambda p: p["role"]))) == 1))
+    of_date = lambda all_, d: let(F.filter(all_, lambda p: p["date"] == d), lambda same: (F.size(same) > 1) & (F.size(F.array_distinct(F.transform(same, lambda p: p["role"]))) == 1))
+    repeated = let(pairs, lambda all_: F.filter(F.array_distinct(F.transform(all_, lambda p: p["date"])), lambda d: of_date(all_, d)))
     signed = F.filter(F.col(Z), lambda z: F.coalesce(valid(z) & (z["metadata"]["signature_role"] != ""), F.lit(False)))
     high = F.filter(signed, lambda z: F.coalesce(z["metadata"]["source_bbox"], z["bbox"])[1] < F.col("height") * LIMITS["signature_from"])
     return F.concat(
@@ -393,13 +398,16 @@ def unsupported_character() -> Column:
 def not_nfc() -> Column:
     """Compares texts with their normal form, made once for each page by check(); a page's first bad zone is named, and each zone with a bad cell up to it."""
     one = lambda z: issue("text_not_nfc_normalized", "error", "the text isn't in normal form C", z["zone_id"])
-    own = F.transform(F.col(Z), lambda z, i: F.coalesce(F.element_at(F.col("_nfc"), i + 1)["own"], F.lit(False)))
-    first = F.array_position(own, True)
-    def rule(z: Column, i: Column) -> Column:
-        state = F.element_at(F.col("_nfc"), i + 1)
-        return F.when((first > 0) & (i + 1 > first), _none()).when(F.coalesce(state["own"], F.lit(False)), F.array(one(z))).otherwise(when(state["cells"], one(z)))
+    first = F.array_position(F.transform(F.col("_nfc"), lambda x: F.coalesce(x["own"], F.lit(False))), True)
+
+    def of(at: Column) -> Column:
+        def rule(z: Column, i: Column) -> Column:
+            state = F.element_at(F.col("_nfc"), i + 1)
+            return F.when((at > 0) & (i + 1 > at), _none()).when(F.coalesce(state["own"], F.lit(False)), F.array(one(z))).otherwise(when(state["cells"], one(z)))
+
+        return F.flatten(F.transform(F.col(Z), rule))
 
-    return F.coalesce(F.flatten(F.transform(F.col(Z), rule)), _none())
+    return F.coalesce(F.when(F.exists("_nfc", lambda x: F.coalesce(x["own"] | x["cells"], F.lit(False))), let(first, of)), _none())
 
 
 # --- rules of effects
