@@ -1,0 +1,424 @@
+"""The ten operators against brute force, on small tables with nulls, repeats, empty and long texts, and clashing column names."""
+
+import base64
+import collections
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from foliomill.llm import minhash, mixing, pii, preferences, repeats, secrets, shingles, templates, tokens, warc, weak
+from foliomill.llm.components import components
+from foliomill.llm.queries import TOKENIZERS, VOCABULARY
+
+SF = "/root/testdata/sf0.001"
+ODD = [None, "", " \n\t", "one", "a b c d", "a b c d", "x " * 3000, "\x00\x1f  é🙂", "same words again and again " * 4]
+
+
+def documents(spark, texts, **more):
+    rows = [(k, t, "en", f"s{k % 3}", 0) for k, t in enumerate(texts)] + [(None, "lost words of a row without id", None, None, None), (3, texts[3], "en", "s0", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    # names that operators use inside
+    for name in ("id", "key", "row", "rank", "size", "n", "spans", "digest", "bucket", "at"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+# --- 1
+
+
+def test_templates_find_reparameterised_questions(spark):
+    items = spark.createDataFrame([(1, "If John Smith has 12 apples and gives 5 apples to Mary, how many apples does he still have after lunch today?"), (2, "short item"), (3, None), (4, "")], "item_id long, text string")
+    docs = documents(spark, [
+        "Well. If Peter Brown has 31 apples and gives 7 apples to Anna, how many apples does he still have after lunch today? ok",
+        "If John Smith has 12 apples and gives 5 apples to Mary, how many apples does he still have after lunch today?",
+        "Nothing of the kind is in here at all", "a short item here",
+    ])
+    found = {(r.doc_id, r.item_id): r.exact for r in templates.leaks(docs, items).collect()}
+    assert found == {(0, 1): False, (1, 1): True, (3, 2): True}
+
+
+def test_templates_want_consistent_slots(spark):
+    item = "the price of 12 units is then 12 times the cost of one"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents(spark, ["the price of 40 units is then 40 times the cost of one", "the price of 40 units is then 7 times the cost of one", "", "z"])
+    assert [r.doc_id for r in templates.leaks(docs, items).collect()] == [0]
+
+
+def test_leaks_against_passage_search(spark):
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    want = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
+    assert want <= {(r.doc_id, r.item_id) for r in templates.leaks(docs, items).collect()}
+
+
+def test_leaks_of_nothing(spark):
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    assert templates.leaks(docs.limit(0), items).count() == 0
+    assert templates.leaks(docs, items.limit(0)).count() == 0
+
+
+# --- 2
+
+EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD, PHONE = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(digits[::-1])) % 10 == 0
+
+
+def personal(text):
+    digits = lambda m: re.sub(r"\D", "", m[0])
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)] + [("ip", *m.span()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(["a", "Z9", "@", ".", "+", "-", " ", "(", ")", "1", "255", "256", "12.", "é", "4539578763621486", "a@b.c", "+49 30 1234567", "\n", "://"]), max_size=20).map("".join))
+def test_base_spans_are_those_of_the_patterns(text):
+    assert [x for x in pii.find(text) if x[0] in pii.BASE] == personal(text)
+
+
+def test_added_kinds_and_redaction():
+    text = "IBAN GB82 WEST 1234 5698 7654 32, account number: 12345678, see https://example.com/users/ann or 12 Long Green Street, write ann@example.com."
+    assert [k for k, _, _ in pii.find(text)] == ["email", "iban", "account", "profile", "address"]
+    assert "12345678" not in pii.redacted(text) and "ann@" not in pii.redacted(text)
+    assert pii.find("A clean sentence of 12 words, 3.5 kg and 2024.") == []
+    assert pii.redacted(None) is None
+
+
+def test_pii_rows(spark):
+    found = pii.digest(documents(spark, [*ODD, "mail a@b.cd"])).collect()
+    assert len(found) == len(ODD) + 3
+    assert sum(r.n_email for r in found) == 1
+    assert all(r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in found if not r.n_email)
+
+
+# --- 3
+
+
+def test_counts_are_those_of_a_unigram_tokenizer():
+    from tokenizers import Tokenizer, models
+
+    pieces = tokens.vocabulary(f"{TOKENIZERS}/{VOCABULARY}")
+    model = Tokenizer(models.Unigram([("<unk>", 0.0), *((f"<0x{b:02X}>", 0.0) for b in range(256)), *pieces], 0, True))
+    count, r = tokens.Counter(pieces), random.Random(2)
+    texts = ["".join(r.choice("ab \n\té日☃🙂the  ing▁") for _ in range(r.randrange(60))) for _ in range(800)] + [t for t in ODD if t]
+    for t in texts:
+        assert count(t) == (len(model.encode("▁" + t.replace(" ", "▁")).tokens) if t else 0), t
+
+
+def test_ties_go_to_the_longest_piece():
+    count = tokens.Counter((("▁", -1.0), ("a", -1.0), ("aa", -2.0), ("▁a", -2.0)))
+    assert count("aa") == 2  # ▁a a, and ▁ aa, score the same; the longer one at the end is tried first
+    assert count(None) == count("") == 0
+
+
+def test_token_rows(spark):
+    found = tokens.token_counts(documents(spark, ODD), f"{TOKENIZERS}/{VOCABULARY}").collect()
+    assert len(found) == len(ODD) + 2
+    assert {r.n_tokens for r in found if r.doc_id in (0, 1)} == {0}
+
+
+# --- 4
+
+
+def test_expectation_maximisation_finds_accuracies():
+    r = np.random.default_rng(0)
+    truth = r.random(20_000) < 0.7
+    right = (0.9, 0.8, 0.75, 0.6)
+    votes = np.stack([np.where(r.random(len(truth)) < 0.8, np.where(r.random(len(truth)) < p, truth, ~truth), -1) for p in right], 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weak.expectation_maximisation(patterns.astype(np.int64), counts.astype(float), 0.5)
+    found = [model.chance[1, k, 2] / model.chance[1, k, 1:].sum() for k in range(4)]
+    assert abs(model.share - 0.7) < 0.08
+    assert found == sorted(found, reverse=True)
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = weak.fit(docs, labels.where("doc_id % 2 = 0"))
+    held = weak.scored(docs, model).join(labels.where("doc_id % 2 = 1"), "doc_id")
+    right = held.agg(F.avg(((F.col("p_quality") >= 0.5) == (F.col("quality") == 1)).cast("int")), F.avg(((F.col("p_toxic") >= 0.5) == (F.col("toxic") == 1)).cast("int"))).first()
+    assert right[0] > 0.98
+    assert right[1] > 0.97
+
+
+def test_classifier_rows(spark):
+    docs = documents(spark, [*ODD, *("a plain sentence of its own, number " + str(k) for k in range(60))])
+    model = weak.fit(docs)
+    assert weak.scored(docs, model).count() == docs.count()
+    assert weak.filtered(docs, model).columns == docs.columns
+    assert weak.fit(docs.limit(0)) is None
+    assert weak.scored(docs.limit(0), None).count() == 0
+
+
+# --- 5
+
+
+def linked(texts):
+    def grams(t):
+        w = (t or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+    sets = {k: grams(t) for k, t in texts.items()}
+    parent = {k: k for k in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(texts, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 75 * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {k: (len(sets[k]), find(k)) for k in texts}
+
+
+def edited(r, words, share):
+    return [r.choice("uvwxyz") * r.randint(1, 9) if r.random() < share else w for w in words]
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    r = random.Random(7)
+    texts = dict(enumerate(ODD))
+    for _ in range(6):
+        base = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(r.choice((30, 120, 400)))]
+        for _ in range(12):
+            texts[len(texts)] = " ".join(edited(r, base, r.choice((0, 0.005, 0.02, 0.04, 0.06))))
+    rows = spark.createDataFrame([*texts.items(), (None, texts[12]), (12, texts[12])], "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("key", F.lit(1))
+    found = minhash.near_duplicates(rows).collect()
+    assert len(found) == len(texts) + 2
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found if x.doc_id is not None} == linked(texts)
+    assert all(x.kept == (x.doc_id == x.component_id) for x in found if x.doc_id is not None)
+
+
+def test_a_family_of_edits_keeps_all_links(spark):
+    """Many documents that are alike, but often not alike enough, share their buckets; the smallest is one of the least alike."""
+    r = random.Random(11)
+    base = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(150)]
+    texts = {k: " ".join(edited(r, base, 0.09 if k < 3 else r.choice((0.01, 0.03, 0.05, 0.08)))) for k in range(120)}
+    found = minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == linked(texts)
+
+
+def test_no_documents(spark):
+    assert minhash.near_duplicates(documents(spark, ODD).limit(0)).count() == 0
+
+
+def test_minima_estimate_similarity():
+    r = np.random.default_rng(1)
+    a = np.unique(r.integers(0, 2**63, 1000, dtype=np.uint64))
+    b = np.unique(np.concatenate([a[:800], r.integers(0, 2**63, 200, dtype=np.uint64)]))
+    share = (minhash.minima([a, b])[0] == minhash.minima([a, b])[1]).mean()
+    assert abs(share - 800 / 1200) < 0.12
+
+
+def test_alternating_stars(spark):
+    r = random.Random(3)
+    edges = [(r.randrange(60), r.randrange(60)) for _ in range(35)] + [(k, k + 1) for k in range(100, 140)]
+    nodes = {n for e in edges for n in e}
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    found = {x.a: x.b for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {n: find(n) for n in nodes if find(n) != n}
+
+
+def test_short_and_blank_sets():
+    assert len(shingles.shingle_set(None)) == len(shingles.shingle_set(" \n")) == 0
+    assert len(shingles.shingle_set("a b")) == 1
+    assert shingles.shingle_set("A b c d E")[0] == shingles.shingle_set("a b c d e")[0]
+    assert shingles.shingle_set("É")[0] != shingles.shingle_set("é")[0]
+
+
+# --- 6
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=30), min_size=1, max_size=4))
+def test_longest_repeats(docs):
+    def brute(words):
+        out = []
+        for i in range(len(words)):
+            best = 0
+            for j in range(len(words)):
+                k = 0
+                while i != j and max(i, j) + k < len(words) and words[i + k] == words[j + k]:
+                    k += 1
+                best = max(best, k)
+            out.append(best)
+        return out
+
+    starts = np.array([0, *itertools.accumulate(map(len, docs))])
+    words = np.array([w for d in docs for w in d], np.int64)
+    assert repeats.longest_repeats(words, starts).tolist() == [x for d in docs for x in brute(d)]
+
+
+def test_quality_rows(spark):
+    found = {r.doc_id: r for r in repeats.quality(documents(spark, [*ODD, " ".join(f"w{k}" for k in range(300)), " ".join(f"w{k % 250}" for k in range(500))])).collect()}
+    assert (found[0].n_words, found[2].n_words, found[6].n_words) == (0, 0, 3000)
+    assert found[6].base_failed and found[6].n_repeat_words == 3000
+    assert found[len(ODD)].kept and not found[len(ODD)].base_failed
+    assert found[len(ODD) + 1].longest_repeat == 250 and not found[len(ODD) + 1].kept
+
+
+# --- 7
+
+
+def test_common_prefix_is_rendered_once(spark):
+    turn = lambda n, role, text: {"turn": n, "role": role, "text": text}
+    kind = "array<struct<turn:long,role:string,text:string>>"
+    a = [turn(0, "system", "s"), turn(1, "user", "u"), turn(2, "assistant", "good")]
+    b = [turn(0, "system", "s"), turn(5, "user", "u"), turn(6, "assistant", "bad"), turn(7, "user", "more")]
+    rows = [(1, a, b), (2, a, a), (3, a, None), (4, None, b), (5, [], a), (6, a[:2], a)]
+    found = {r.id: r for r in preferences.formatted(spark.createDataFrame(rows, f"id long, chosen {kind}, rejected {kind}")).collect()}
+    one = found[1]
+    assert one.prompt == "<|im_start|>system\ns<|im_end|>\n<|im_start|>user\nu<|im_end|>\n"
+    assert one.chosen == "<|im_start|>assistant\ngood<|im_end|>\n"
+    assert [one.chosen[s.start : s.end] for s in one.chosen_mask] == ["good<|im_end|>\n"]
+    assert [one.rejected[s.start : s.end] for s in one.rejected_mask] == ["bad<|im_end|>\n"]
+    assert {k: r.status for k, r in found.items()} == {1: "pair", 2: "equal", 3: "no rejected", 4: "no chosen", 5: "pair", 6: "pair"}
+    assert (found[5].prompt_turns, found[6].prompt_turns, found[6].chosen) == (0, 2, "")
+
+
+def test_pairs_of_conversations(spark):
+    turns = spark.createDataFrame([(0, 0, "user", "q"), (0, 1, "assistant", "a"), (1, 0, "user", "r"), (1, 1, "assistant", None), (2, 0, "user", "z"), (None, 0, "user", "x"), (3, None, None, None)], "conv_id long, turn long, role string, text string")
+    found = {r.id: r for r in preferences.formatted(preferences.answer_pairs(turns)).collect()}
+    assert {k: r.status for k, r in found.items()} == {0: "pair", 1: "pair", 2: "no rejected", 3: "no rejected"}
+    assert found[0].rejected == "<|im_start|>assistant\n<|im_end|>\n"
+
+
+# --- 8
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def secret_spans(text):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(out))
+
+
+def test_secrets_against_the_patterns(spark):
+    r = random.Random(4)
+    parts = ["password", "Token", "api_key", "APIKEY", "secret", ":", "=", '"', "'", " ", "AKIA", "A1", "Z9QQQQQQ", "a1b2c3d4", "f0", "é", "🙂", "abcdef", ".", "\n", "ſecret", "tokens"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(30))) for _ in range(1500)]
+    found = secrets.verdicts(documents(spark, texts)).collect()
+    assert len(found) == len(texts) + 2
+    for x in found:
+        if x.doc_id is not None:
+            assert x.base_sha256 == hashlib.sha256(secret_spans(texts[x.doc_id]).encode()).hexdigest(), texts[x.doc_id]
+
+
+def test_owners_tell_examples_from_credentials(spark):
+    live, copied = "token = 9f8e7d6c5b4a39281706f5e4d3c2b1a0", "password: hunter22hunter"
+    rows = [(1, live, "a", "en"), (2, live, "a", "en"), *((k, copied, f"o{k}", "en") for k in range(3, 9)), (9, None, None, None), (9, "", None, None)]
+    found = {r.doc_id: r for r in secrets.verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert (found[1].n_live, found[1].n_copied) == (1, 0)
+    assert all((found[k].n_live, found[k].n_copied) == (0, 1) for k in range(3, 9))
+    assert found[9].spans == ""
+
+
+# --- 9
+
+
+def pages(spark):
+    rows = [(1, "http://a", "same"), (2, "http://b", "same"), (3, None, "other é"), (3, None, "other é"), (4, "u\r\nv: w", ""), (5, "x", None), (None, "y", "same"), (None, "z", "alone")]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("id", F.lit(1)).withColumn("digest", F.lit("x"))
+
+
+def test_archives_round_trip(spark, tmp_path):
+    bundles = warc.write(pages(spark))
+    found = sorted((-1 if r.page_id is None else r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read(bundles).collect())
+    assert found == [(-1, 4, "revisit", 2), (-1, 5, "response", None), (1, 4, "revisit", 2), (2, 4, "response", None), (3, 8, "response", None), (3, 8, "response", None), (4, 0, "revisit", 5), (5, 0, "response", None)]
+    digests = {r.payload_digest for r in warc.read(bundles).where("page_id = 2").collect()}
+    assert digests == {base64.b32encode(hashlib.sha1(b"same").digest()).decode()}
+    data = {r.bundle: r.data for r in bundles.collect()}
+    for r in warc.index(bundles).collect():
+        fields, payload = warc.fetch(data[r.bundle], r.frame, r.offset)
+        assert fields["WARC-Record-ID"] == f"<urn:page:{'none' if r.id is None else r.id}>"
+    made = warc.export(bundles, str(tmp_path)).collect()
+    import zstandard
+
+    for r in made:
+        plain = zstandard.ZstdDecompressor().stream_reader(open(r.path, "rb"), read_across_frames=True).read()
+        assert sum(1 for _ in warc.parsed(plain)) == sum(len(x.records) for x in bundles.where(F.col("bundle") == r.bundle).collect())
+
+
+def test_frames_are_independent():
+    b = warc.Bundle()
+    for k in range(40):
+        b.add(k, warc.record(k, "u", bytes([k]) * 20_000, "D", None))
+    data = b.bytes()
+    table = warc.seek_table(data)
+    assert len(table) > 2
+    for k, f, o, n in b.index:
+        assert warc.fetch(data, f, o)[1] == bytes([k]) * 20_000
+        assert len(warc.record(k, "u", bytes([k]) * 20_000, "D", None)) == n
+
+
+def test_no_pages(spark):
+    assert warc.read(warc.write(pages(spark).limit(0))).count() == 0
+
+
+# --- 10
+
+
+def share_out(sizes, weights=(5, 2, 1)):
+    """Targets by resharing the excess until none is above its limit."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[k % 3] for k, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(3 * sizes[s] for s in capped)
+        free = [s for s in order if s not in capped]
+        level = rest / sum(w[s] for s in free) if free else 0
+        over = [s for s in free if level * w[s] > 3 * sizes[s]]
+        if not over:
+            return {s: 3 * sizes[s] if s in capped else level * w[s] for s in order}
+        capped |= set(over)
+
+
+def test_mixing(spark):
+    r = random.Random(6)
+    rows = [(k, " ".join("w" for _ in range(r.randrange(1, 200))), r.choice(["a", "a", "a", "b", "c", None, "é"])) for k in range(900)] + [(900, None, "a"), (None, "x y", "b"), (5, "x y", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit(-1)).withColumn("key", F.lit("q"))
+    found = mixing.sampled(df).collect()
+    assert len(found) == len(rows)
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    want, taken, longest = share_out(sizes), collections.Counter(), collections.Counter()
+    for x in found:
+        assert x.target == pytest.approx(want[x.source])
+        assert x.source_size == sizes[x.source]
+        assert x.copies <= 3 and x.taken == x.copies * x.size
+        taken[x.source] += x.taken
+        longest[x.source] = max(longest[x.source], x.size)
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= longest[s] + 1
+    again = mixing.sampled(df.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+    assert mixing.mixed(df.where("doc_id is not null and doc_id <> 5"), text_col="text").count() > 0
+
+
+def test_no_sources(spark):
+    assert mixing.sampled(documents(spark, ODD).limit(0)).count() == 0

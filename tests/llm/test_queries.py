@@ -1,0 +1,47 @@
+"""The registered queries against DuckDB, and the pipeline stage by stage against plain Python."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+from conftest import SF, same  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from foliomill.llm import pii  # noqa: E402
+from foliomill.llm.queries import ORACLES, QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(name, spark, duck):
+    same(QUERIES[name](spark, SF), duck, ORACLES[name])
+
+
+def test_names():
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, texts = docs.columns, {r.doc_id: r.text for r in docs.collect()}
+    kept = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs
+        docs = stage(spark, docs, SF).cache()
+        if k + 1 < len(corpus_pipeline.STAGES):
+            assert docs.columns == columns
+        kept.append((before.count(), docs.count()))
+        if k == 1:
+            groups = QUERIES["op5_near_duplicates"]
+            assert docs.select("text").distinct().count() == docs.count()
+            assert groups(spark, SF).where("kept").count() <= len(texts)
+        if k == 2:
+            items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+            assert not [r for r in docs.collect() if any(i in r.text for i in items)]
+        if k == 3:
+            assert all(r.text == pii.redacted(texts[r.doc_id]) and r.n_chars == len(r.text) for r in docs.collect())
+            assert not [r for r in docs.collect() if "@" in r.text and pii.find(r.text)]
+    assert kept[0][1] < kept[0][0]
+    assert kept[1][1] < kept[1][0]
+    assert kept[4][0] == kept[4][1]
