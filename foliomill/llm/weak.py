@@ -155,14 +155,15 @@ def _place(feature: bytes) -> int:
     return xxhash.xxh64_intdigest(feature) % DIMENSIONS
 
 
-def _parts(word: bytes) -> tuple[int, tuple[tuple[int, int, int], ...]]:
-    """Place of a word, and of each of its beginnings that of one, two, three occurrences."""
+def _begin(prefix: str) -> tuple[int, int, int]:
+    """Places of one, two, three occurrences of a beginning."""
+    h = xxhash.xxh64_intdigest(prefix.encode(), 1)
+    return h % DIMENSIONS, (h >> 20) % DIMENSIONS, (h >> 40) % DIMENSIONS
+
+
+def _begins(word: bytes) -> tuple[str, ...]:
     text = word.decode("utf-8", "replace")
-    begins = []
-    for p in {text[:5], text[:7]}:
-        h = xxhash.xxh64_intdigest(p.encode(), 1)
-        begins.append((h % DIMENSIONS, (h >> 20) % DIMENSIONS, (h >> 40) % DIMENSIONS))
-    return _place(word), tuple(begins)
+    return (text[:5], text[:7]) if len(text) > 5 else (text,)
 
 
 def _named(quality: list[int], toxic: list[int]) -> list[int]:
@@ -176,12 +177,11 @@ def features(text: str | None) -> np.ndarray:
     numbers, times = np.unique(words, return_counts=True)
     for number, n in zip(numbers.tolist(), times.tolist(), strict=True):
         if word := _words.low[number]:
-            own, begins = _parts(word)
-            places.add(own)
-            for b in begins:
+            places.add(_place(word))
+            for b in _begins(word):
                 begun[b] += n
     for b, n in begun.items():
-        places.update(b[:n])
+        places.update(_begin(b)[:n])
     return np.fromiter(places, np.int64, len(places))
 
 
@@ -217,12 +217,17 @@ class Scorer:
 
     def forget(self) -> None:
         self.generation, self.looked, self.found = _words.generation, bytearray(), {}
+        self.begin = Remembered(self._active_begin, most=200_000)
+
+    def _active_begin(self, prefix: str) -> tuple[int, int, int] | None:
+        places = _begin(prefix)
+        return places if self.active[places[0]] or self.active[places[1]] or self.active[places[2]] else None
 
     def _look(self, number: int, word: bytes) -> int:
         if not word:
             return 0
-        own, begins = _parts(word)
-        begins = tuple(b for b in begins if any(self.active[k] for k in b))
+        begins = tuple(filter(None, map(self.begin.__getitem__, _begins(word))))
+        own = _place(word)
         if begins or self.active[own]:
             self.found[number] = (own, begins)
             return 1
@@ -235,13 +240,14 @@ class Scorer:
         for number in range(len(self.looked), len(_words.low)):
             self.looked.append(self._look(number, _words.low[number]))
         places, begun = set(self.named(tuple(quality), tuple(toxic))), Counter()
-        for number in words[np.frombuffer(self.looked, np.uint8)[words] > 0].tolist():
+        numbers, times = np.unique(words[np.frombuffer(self.looked, np.uint8)[words] > 0], return_counts=True)
+        for number, n in zip(numbers.tolist(), times.tolist(), strict=True):
             own, begins = self.found[number]
             places.add(own)
             for b in begins:
-                begun[b] += 1
-        for b, times in begun.items():
-            places.update(b[:times])
+                begun[b] += n
+        for b, n in begun.items():
+            places.update(b[:n])
         z = self.weights[:, sorted(places)].sum(axis=1) + self.weights[:, -1]
         good, bad = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         return float(good), float(bad)
