@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.functions.text import BOILERPLATE, KAZAKH_SPECIAL, has_any
@@ -129,3 +129,24 @@ def last_per_id(records: Column, key: str) -> Column:
 def search_text(column: Column) -> Column:
     """Names and values of a nested column as one lower-case string."""
     return F.lower(F.trim(F.regexp_replace(F.to_json(column), r'[{}\[\]":,]+', " ")))
+
+
+def present(df: DataFrame, *columns: str) -> DataFrame:
+    """Only those of the columns that the table has."""
+    return df.select(*(c for c in columns if c in df.columns))
+
+
+def has_stamp(stamp_id: Column, stamp_text: Column) -> Column:
+    return (F.coalesce(stamp_id, F.lit("")) != "") | (F.coalesce(stamp_text, F.lit("")) != "")
+
+
+def completed(df: DataFrame) -> DataFrame:
+    """Rows of older manifests with what newer ones have: absent columns, and nulls where a default is known."""
+    defaults = {
+        "generator_schema_version": ("string", F.lit("legacy")), "content_schema_id": ("string", F.lit(None)), "layout_variant": ("string", F.lit("legacy")), "content_record_ids": ("array<string>", F.array()),
+        "visual_qa_status": ("string", F.lit("pending_manual")), "qa_flags": ("array<string>", F.array()), "stamp_id": ("string", F.lit(None)), "stamp_text": ("string", F.lit(None)),
+    }
+    for name, (kind, value) in defaults.items():
+        value = value.cast(kind)
+        df = df.withColumn(name, F.coalesce(F.col(name), value) if name in df.columns else value)
+    return df.withColumn("has_stamp", has_stamp(F.col("stamp_id"), F.col("stamp_text")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomill.functions.hashing import bucket, row_seed, sha256
-from foliomill.operators import gallery, graph, qa, relate, sampling, similarity, splits
+from foliomill.operators import duplicates, gallery, graph, qa, relate, sampling, similarity, splits
 from foliomill.plans.tables import labelled_documents, read
 from foliomill.schema import ZONE
 
@@ -198,8 +198,26 @@ def manifest_problems(s: SparkSession, d: str) -> DataFrame:
     return qa.manifest_problems(rows)
 
 
+def _page_members(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    pages = pages_of(read(s, d, "documents"))
+    return duplicates.members(pages), pages
+
+
+def duplicate_modes(s: SparkSession, d: str) -> DataFrame:
+    """Metrics of duplicate clusters of documents as pages, by mode. Rasters and normal forms are beyond SQL; exact_text_clusters has the part that isn't."""
+    found, pages = _page_members(s, d)
+    return duplicates.metrics(found, pages.count())
+
+
+def exact_text_clusters(s: SparkSession, d: str) -> DataFrame:
+    """Clusters of equal meaningful text: its lines, trimmed, without blank ones."""
+    texts = duplicates.page_texts(pages_of(read(s, d, "documents"))).select(F.col("page_id").cast("long").alias("doc_id"), F.sha2("exact", 256).alias("digest"))
+    x = graph.labelled(texts.select("doc_id"), similarity.equal_links(texts, "doc_id", F.col("digest")), "doc_id")
+    return graph.clusters(x, "doc_id").select("first", "size", F.array_join(F.transform("members", lambda m: m.cast("string")), ",").alias("members"))
+
+
 FUNCTIONS = (
-    hash_split, component_split, split_sizes, split_distribution, split_overlap, stratified_rank, nested_subsets, audit_sample, weighted_layouts, tiers, features, effects, running_rank, fallbacks, phrase_pool, cells,
+    duplicate_modes, exact_text_clusters, hash_split, component_split, split_sizes, split_distribution, split_overlap, stratified_rank, nested_subsets, audit_sample, weighted_layouts, tiers, features, effects, running_rank, fallbacks, phrase_pool, cells,
     entity_pool, variants, planned_pages, gallery_page, gallery_totals, gallery_options, gallery_neighbours, neighbours_within, latest_reviews, first_of_duplicates, page_rules, page_boxes, manifest_problems,
 )
 QUERIES = {f.__name__: f for f in FUNCTIONS}
@@ -239,6 +257,9 @@ SELECT n_nationkey, row::INT AS row, c::INT AS col, x[c + 1] AS x1, x[c + 2] AS
     "gallery_neighbours": f"SELECT * FROM (SELECT page_id, lag(page_id) OVER (ORDER BY row_index) AS previous, lead(page_id) OVER (ORDER BY row_index) AS next FROM {_G}) WHERE page_id = '17'",
     "neighbours_within": "SELECT doc_id, source, lag(doc_id) OVER w AS previous, lead(doc_id) OVER w AS next FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)",
     "first_of_duplicates": "SELECT doc_id, place FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id)::INT AS place FROM documents) WHERE place > 1",
+    "exact_text_clusters": r"""WITH l AS (SELECT doc_id, generate_subscripts(a, 1) AS i, regexp_replace(unnest(a), '^\s+|\s+$', '', 'g') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
+e AS (SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (t <> ''), '') AS e FROM l GROUP BY 1)
+SELECT min(doc_id) AS first, count(*)::INT AS size, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS members FROM e GROUP BY e HAVING count(*) > 1""",
     "page_boxes": """WITH z AS (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents)
 SELECT doc_id::VARCHAR AS page_id, 'invalid_zone_box' AS code, count(*) AS n FROM z WHERE i * 20 + 28 > 1400 GROUP BY 1 UNION ALL SELECT doc_id::VARCHAR, 'empty_page', 1 FROM documents""",
     "manifest_problems": """WITH p AS (SELECT doc_id::VARCHAR AS row, lang, doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id::VARCHAR) AS k FROM documents)

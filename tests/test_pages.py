@@ -110,3 +110,32 @@ def test_separating_axes(spark):
 
 def test_empty_table(spark):
     assert qa.check(frame(spark).limit(0)).count() == 0
+
+
+def test_duplicate_report(spark):
+    from foliomill.operators import duplicates
+
+    box = [10, 10, 500, 60]
+    text = "алты сөзден тұратын бір ұзын жол осында"
+    rows = [page(f"p{k}", zones=[zone("b", "body", box, text)]) for k in range(3)] + [page("q", zones=[zone("b", "body", box, text.upper() + "!")]), page("r", zones=[zone("b", "body", [10, 700, 900, 960], "басқа")]), page("e")]
+    pages = frame(spark, *rows)
+    found = duplicates.members(pages)
+    clusters = {(r["mode"], tuple(r["members"])) for r in duplicates.report(found).collect()}
+    assert ("exact_text", ("p0", "p1", "p2")) in clusters
+    assert {("normalized_text", ("p0", "p1", "p2", "q")), ("near_text", ("p0", "p1", "p2", "q")), ("structure", ("p0", "p1", "p2", "q")), ("skeleton", ("p0", "p1", "p2", "q")), ("mask", ("p0", "p1", "p2", "q"))} <= clusters
+    measured = duplicates.metrics(found, len(rows))
+    assert {r.gate for r in duplicates.violations(measured, found, pages).collect()} == {"exact_text", "near_rate"}
+
+
+def test_older_manifests(spark):
+    x = P.completed(spark.createDataFrame([("p", None, "s")], "page_id string, layout_variant string, stamp_text string")).first()
+    assert (x.layout_variant, x.visual_qa_status, x.has_stamp, x.content_record_ids) == ("legacy", "pending_manual", True, [])
+    assert P.present(spark.range(1), "id", "x").columns == ["id"]
+
+
+def test_rejections_and_drawable(spark):
+    issues = [{"code": "a", "severity": "error"}, {"code": "b", "severity": "warning"}]
+    pages = frame(spark, page(qa_issues=issues, zones=[zone("t", "body", [1, 1, 2, 2]), zone("t", "body", [1, 1, 2, 2]), zone("u", "body", [5, 5, 1, 1]), zone("v", "body", [5, 5, 1, 1], polygon=[[1, 1], [2, 1], [2, 2]])]))
+    assert [tuple(r) for r in profile.rejection_reasons(pages).collect()] == [("a", 1)]
+    r = qa.drawable(pages).first()
+    assert (r.zones, r.repeated, r.valid, r.drawable) == (4, 1, 1, 2)
