@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from foliomill.functions.hashing import hamming, hamming_wide
 from foliomill.functions.text import jaccard, masked_digits, normalized, shingles, split_words, tokens
 from foliomill.operators import graph
+from foliomill.storage import stored
 from foliomill.workers import ship
 
 
@@ -39,7 +40,7 @@ def similar_pairs(df: DataFrame, key: str, sets: Column, threshold: float) -> Da
     sets are put together first, and pairs are made of one of each.
     """
     rows = df.select(F.col(key).alias("id"), sets.alias("s")).where(F.size("s") > 0)
-    classes = rows.groupBy("s").agg(F.min("id").alias("rep"))
+    classes = stored(rows.groupBy("s").agg(F.min("id").alias("rep")), "classes")  # read four times below
     elements = classes.select("rep", F.size("s").alias("n"), F.explode("s").alias("e"))
     frequency = elements.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ordered = elements.join(frequency, "e").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("x"))

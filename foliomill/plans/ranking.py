@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.functions.hashing import bucket, row_seed, sha256
+from foliomill.functions.hashing import bucket, row_seed
 from foliomill.operators import duplicates, gallery, graph, qa, relate, sampling, similarity, splits
 from foliomill.plans.tables import labelled_documents, read
 from foliomill.schema import ZONE
