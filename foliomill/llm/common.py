@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,8 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliomill.storage import dropped, shared_dir, stored
 from foliomill.workers import ship
 
+__all__ = ["dropped", "shared_dir", "stored"]
+
 #: Rows and bytes handed to a Python worker at once; a longer text comes alone.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
@@ -30,35 +31,14 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local default only where none is set, as in tests."""
-    sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not at:
-        at = "file:///tmp/checkpoints"
-        sc.setCheckpointDir(at)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """Write once to the shared folder and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliomill-{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a table that stored() made and nothing needs any more."""
-    spark = df.sparkSession
-    base = shared_dir(spark)
-    jvm = spark.sparkContext._jvm
-    for root in {os.path.dirname(f) for f in df.inputFiles()}:
-        if "/foliomill-" in root and root.split("/foliomill-")[0].split(":")[-1].lstrip("/") == base.split(":")[-1].lstrip("/"):
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join with a right side that was aggregated by key, so that Spark can split a hot key's rows.
+
+    The aggregate's partitions would serve the join as they are, and a partition that
+    has been aggregated can't be split. A second key, always 0, has both sides dealt anew.
+    """
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).alias("_zero")
+    return left.select("*", zero).join(right.select("*", zero), [key, "_zero"], how).drop("_zero")
 
 
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import dropped, stored
+from foliomill.llm.common import dropped, split_join, stored
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is tied to the smallest of the node and its neighbours."""
     both = _both(edges)
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return split_join(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     own = least.select("a", F.col("m").alias("b"))
-    rest = down.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    rest = split_join(down, least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return own.unionByName(rest).distinct()
 
 

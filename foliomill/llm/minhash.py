@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import Remembered, mapped, mixed, starts_of, stored
+from foliomill.llm.common import Remembered, mapped, mixed, split_join, starts_of, stored
 from foliomill.llm.components import components
 from foliomill.llm.shingles import digest, shingle_set, similar
 
@@ -163,11 +163,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sketch = stored(sketches(df, id_col, text_col), "sketch")
     small = sketch.where("id is not null and digest is not null").select("id", "digest")
     copies = small.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("far")).where("rep != far").drop("far")
-    moved = stored(small.join(copies, "digest").where("id != rep").select("id", "rep").distinct(), "copies")
+    moved = stored(split_join(small, copies, "digest").where("id != rep").select("id", "rep").distinct(), "copies")
 
     bands = sketch.where("keys is not null").select("id", F.explode("keys").alias("key"))
     heads = bands.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("far")).where("head != far").drop("far")
-    hits = stored(bands.join(heads, "key").where("id != head"), "buckets")
+    hits = stored(split_join(bands, heads, "key").where("id != head"), "buckets")
 
     as_rep = lambda c: moved.select(F.col("id").alias(c), F.col("rep").alias(f"rep_{c}"))
     pairs = hits.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
@@ -223,9 +223,9 @@ def still_apart(df: DataFrame, sketch: DataFrame, hits: DataFrame, moved: DataFr
     members = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("of")), "id", "left").select("key", "id", F.coalesce("of", "id").alias("of"))
     sizes = sketch.where("id is not null").groupBy("id").agg(F.max("n_shingles").alias("n"))
     open_keys = members.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("key")
-    opened = stored(members.join(open_keys, "key").join(sizes, "id"), "open")
+    opened = stored(split_join(members, open_keys, "key").join(sizes, "id"), "open")
     least = opened.groupBy("key").agg(F.min("n").alias("least"))
-    who = opened.join(least, "key").groupBy("id").agg(F.min("of").alias("of"), F.min("least").alias("least"))
+    who = split_join(opened, least, "key").groupBy("id").agg(F.min("of").alias("of"), F.min("least").alias("least"))
     # required overlap: percent / (100 + percent) of both sizes together; the smaller size is percent of the larger at least
     other = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
     sets = set_rows(texts_of(df, who.select("id"), id_col, text_col)).join(who, "id").withColumn("n", F.size("s"))
@@ -233,13 +233,13 @@ def still_apart(df: DataFrame, sketch: DataFrame, hits: DataFrame, moved: DataFr
     elements = sets.select("id", F.explode("s").alias("h"))
     common = elements.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # shingles that no other member has come first; they only take up places
-    ordered = elements.join(common, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("x"))
+    ordered = split_join(elements, common, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("x"))
     x = sets.select("id", "of", "n", "prefix").join(ordered, "id").withColumn("alone", F.col("n") - F.size("x"))
     places = F.col("prefix") - F.col("alone")
     probes = x.where(places > 0).select("id", "of", "n", "alone", F.posexplode(F.slice("x", F.lit(1), places.cast("int"))).alias("at", "y"))
     probes = stored(probes.select("id", "of", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left_over"), F.col("y.h").alias("h")), "probes")
     shared = probes.groupBy("h").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("h")
-    probes = probes.join(shared, "h")
+    probes = split_join(probes, shared, "h")
     a, b = (probes.select("h", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "of", "n", "left_over"))) for side in ("a", "b"))
     needed = (F.col("n_a") + F.col("n_b")) * percent
     enough = (F.col("left_over_a") * (100 + percent) >= needed) & (F.col("left_over_b") * (100 + percent) >= needed)
