@@ -46,8 +46,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = L
 
 
 def size_class(size: Column) -> Column:
-    """Whole part of the base-2 logarithm, 0 for 0."""
-    return F.length(F.bin(size))
+    """Grows with size: its number of binary digits, then the first four of them; all sizes below 16 have their own."""
+    digits = F.length(F.bin(size))
+    return digits * 16 + F.call_function("shiftright", size, F.greatest(digits - 4, F.lit(0))).cast("int")
 
 
 def offset(source: Column, seed: str = SEED) -> Column:
