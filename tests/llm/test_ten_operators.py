@@ -422,3 +422,10 @@ def test_mixing(spark):
 
 def test_no_sources(spark):
     assert mixing.sampled(documents(spark, ODD).limit(0)).count() == 0
+
+
+def test_part_of_a_long_item_is_a_leak(spark):
+    words = [f"w{k}" for k in range(80)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = documents(spark, ["own text " + " ".join(words[30:55]) + " and more", "own text " + " ".join(words[30:42]) + " and more", "x", "y"])
+    assert [r.doc_id for r in templates.leaks(docs, items).collect()] == [0]
