@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import stored
+from foliomill.llm.common import split_join, stored
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "github", "slack", "jwt", "pem")
@@ -104,7 +104,7 @@ def verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     )
     some = held.where(F.size("looks") > 0)
     values = some.select("row", F.inline("looks"))
-    judged = values.join(ownership(some), "hash").select("row", F.when(F.col("n_owners") >= COPIED_OWNERS, "copied").when((F.col("n_owners") == 1) & F.col("random"), "live").otherwise("shared").alias("is"))
+    judged = split_join(values, ownership(some), "hash").select("row", F.when(F.col("n_owners") >= COPIED_OWNERS, "copied").when((F.col("n_owners") == 1) & F.col("random"), "live").otherwise("shared").alias("is"))
     counts = judged.groupBy("row").agg(*(F.count(F.when(F.col("is") == k, 1)).alias(f"n_{k}") for k in ("live", "shared", "copied")))
     keep = held.select("row", id_col, *(f"n_{k}" for k in BASE), "base_sha256", "spans")
     return keep.join(counts, "row", "left").select(*keep.columns[1:], *(F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in ("live", "shared", "copied")))
