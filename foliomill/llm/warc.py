@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import mapped, stored
+from foliomill.llm.common import mapped, split_join, stored
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 256 << 10, 8 << 20, 3
 #: Of the public formats (fixed values).
@@ -138,7 +138,7 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     rows = rows.withColumn("digest", payload_digest(F.col("payload")))
     small = rows.select("id", "digest")
     repeated = small.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").drop("n")
-    revisits = small.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))).select(F.coalesce("id", F.lit(-1)).alias("key"), F.col("id").isNull().alias("none"), F.col("digest").alias("of"), "refers_to").distinct()
+    revisits = split_join(small, repeated, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))).select(F.coalesce("id", F.lit(-1)).alias("key"), F.col("id").isNull().alias("none"), F.col("digest").alias("of"), "refers_to").distinct()
     on = (F.coalesce(rows["id"], F.lit(-1)) == revisits["key"]) & (rows["id"].isNull() == revisits["none"]) & (rows["digest"] == revisits["of"])
     return rows.join(revisits.hint("shuffle_hash"), on, "left").select("id", "url", "payload", "digest", "refers_to")
 
