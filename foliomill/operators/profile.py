@@ -52,7 +52,7 @@ def entropy(counts: DataFrame, by: tuple[str, ...] = (), n: str = "n", places: i
     total, weighted = F.sum(n).cast("double"), F.sum(F.col(n) * F.log2(F.col(n)))
     value = F.when(total > 0, F.log2(total) - weighted / total).otherwise(0.0)
     value = F.abs(F.round(value, places)) if places is not None else value
-    return counts.where(F.col(n) > 0).groupBy(*by).agg(value.alias("entropy")).withColumn("effective", F.pow(F.lit(2.0), "entropy"))
+    return counts.where(F.col(n) > 0).groupBy(*by).agg(value.alias("entropy")).withColumn("effective", F.round(F.pow(F.lit(2.0), "entropy"), places or 4))
 
 
 def field_summary(df: DataFrame, by: str, value: str) -> DataFrame:

@@ -175,7 +175,7 @@ ORACLES = {
     "field_summary": """WITH c AS (SELECT event_type, user_id, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2)
 SELECT event_type, sum(n)::BIGINT AS total, count(*) AS distinct_values, round(count(*)::DOUBLE / sum(n), 4) AS unique_ratio, round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4) AS entropy FROM c GROUP BY 1""",
     "entropy": """WITH c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2)
-SELECT source, abs(round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4)) AS entropy, pow(2.0, abs(round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4))) AS effective FROM c GROUP BY 1""",
+SELECT source, abs(round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4)) AS entropy, round(pow(2.0::DOUBLE, abs(round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4))), 4) AS effective FROM c GROUP BY 1""",
     "routed_fields": """SELECT coalesce(CASE WHEN contains(event_type, 'status') THEN NULL WHEN contains(event_type, 'name') OR event_type = 'applicant' THEN 'person_name' WHEN regexp_matches(event_type, 'organization|company') THEN 'organization'
  WHEN contains(event_type, 'department') OR event_type = 'office' THEN 'department' WHEN contains(event_type, 'address') THEN 'address' WHEN regexp_matches(event_type, 'subject|topic') OR event_type IN ('request_type', 'request_summary') THEN 'subject'
  WHEN regexp_matches(event_type, 'number|id') THEN 'document_number' WHEN contains(event_type, 'date') THEN 'date' WHEN contains(event_type, 'note') OR length(props) > 40 THEN 'long_note' END, 'none') AS by_key,

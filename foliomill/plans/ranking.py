@@ -245,7 +245,7 @@ SELECT * FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY sc
     "effects": f"""WITH e(effect, chance, weight) AS (VALUES {", ".join(f"('{a}', {b}::DOUBLE, {c}::DOUBLE)" for a, b, c in EFFECTS)}), s AS (SELECT doc_id, effect, weight, {_UNIT.format("doc_id || ':' || effect")} < chance AS drawn FROM documents, e),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY drawn DESC, weight DESC, effect) AS place FROM s) SELECT doc_id, effect, drawn FROM r WHERE drawn OR place <= 3""",
     "running_rank": "SELECT doc_id, coalesce(sum((lang = 'fr')::INT) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM documents",
-    "fallbacks": "SELECT * FROM (VALUES (1, 'both', 'a'), (2, 'layout', 'a'), (2, 'layout', 'b'), (3, 'any', 'a'), (3, 'any', 'b'), (3, 'any', 'c'), (4, 'any', 'a'), (4, 'any', 'b'), (4, 'any', 'c')) v(id, level, record)",
+    "fallbacks": "SELECT id::BIGINT AS id, level, record FROM (VALUES (1, 'both', 'a'), (2, 'layout', 'a'), (2, 'layout', 'b'), (3, 'any', 'a'), (3, 'any', 'b'), (3, 'any', 'c'), (4, 'any', 'a'), (4, 'any', 'b'), (4, 'any', 'c')) v(id, level, record)",
     "phrase_pool": "SELECT phrase, sum(k)::BIGINT AS n FROM (SELECT substr(text, 1, 20) AS phrase, CASE WHEN lang = 'es' THEN 1 ELSE 3 END AS k FROM documents WHERE lang IN ('de', 'fr', 'es')) GROUP BY 1",
     "cells": """WITH t AS (SELECT n_nationkey, n_nationkey * 13 + 200 AS w, unnest(range(0, n_nationkey % 4 + 1)) AS row FROM nation), e AS (SELECT *, [0, floor(w * (1.0::DOUBLE / 4.5))::INT, floor(w * (3.0::DOUBLE / 4.5))::INT, w] AS x FROM t)
 SELECT n_nationkey, row::INT AS row, c::INT AS col, x[c + 1] AS x1, x[c + 2] AS x2 FROM e, (VALUES (0), (1), (2)) v(c)""",

@@ -156,7 +156,7 @@ ORACLES = {
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_linenumber) GROUP BY 1 HAVING count(*) > 1""",
     "coverage": f"SELECT 'table_count' AS dimension, '1' AS value, count(*) AS n FROM {_O} UNION ALL SELECT 'orientation', CASE WHEN n > 4 THEN 'landscape' ELSE 'portrait' END, count(*) FROM {_O} GROUP BY 2 UNION ALL SELECT 'text_density', CASE WHEN n > 5 THEN 'dense' ELSE 'standard' END, count(*) FROM {_O} GROUP BY 2",
     "depths": "SELECT * FROM (VALUES ('zones', 2, 2, 2.0::DOUBLE), ('paragraphs', 0, 0, 0.0), ('reading_order', 1, 1, 1.0)) v(measure, least, most, mean)",
-    "rendering": f"SELECT 'cell' AS part, 2 * sum(n)::BIGINT AS n, 0 AS wrapped, 0 AS not_wrapped, 0 AS complete, 0 AS incomplete, 0 AS small_fonts FROM {_O}",
+    "rendering": f"SELECT 'cell' AS part, 2 * sum(n)::BIGINT AS n, 0::BIGINT AS wrapped, 0::BIGINT AS not_wrapped, 0::BIGINT AS complete, 0::BIGINT AS incomplete, 0::BIGINT AS small_fonts FROM {_O}",
     "regions": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey::VARCHAR, l_returnflag) - 1 AS r FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 c AS (SELECT l_orderkey, l_linenumber, col, CASE WHEN col = 0 THEN l_partkey::VARCHAR ELSE l_returnflag END AS text, 2 * r + col AS i FROM r, (VALUES (0), (1)) v(col))
 SELECT l_orderkey::VARCHAR AS page_id, 'table_cell' || i AS region_id, text, (50 * col) || ',' || (l_linenumber * 10 + 30) || ',' || (50 + 50 * col) || ',' || (l_linenumber * 10 + 40) AS bbox FROM c""",
@@ -165,7 +165,7 @@ FROM {_O} JOIN (SELECT l_orderkey, string_agg(l_partkey || chr(10) || l_returnfl
     "overlapping_zones": f"SELECT o_orderkey::VARCHAR AS page_id, 'title' AS zone_id, 'table' AS other, round(1000.0::DOUBLE / least(5000, 1000 * n), 6) AS ratio FROM {_O} WHERE 1000.0 / least(5000, 1000 * n) > 0.35",
     "zone_issues": f"SELECT 'excessive_overlap' AS code, count(*) AS n FROM {_O} WHERE 1000.0 / least(5000, 1000 * n) > 0.35 UNION ALL SELECT 'invalid_table_cell', count(*) FROM lineitem l JOIN {_O} ON o_orderkey = l_orderkey, (VALUES (0), (1)) v(c) WHERE l_linenumber * 10 + 40 > n * 10 + 40 OR l_linenumber * 10 + 30 < 40 HAVING count(*) > 0",
     "structures": "SELECT count(*) AS pages FROM (SELECT l_orderkey, string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber) AS k FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1) GROUP BY k",
-    "drawable_zones": f"SELECT 2 AS zones, 0 AS repeated, 2 AS valid, 2 AS drawable, count(*) AS pages FROM {_O}",
+    "drawable_zones": f"SELECT 2::BIGINT AS zones, 0::BIGINT AS repeated, 2::BIGINT AS valid, 2::BIGINT AS drawable, count(*) AS pages FROM {_O}",
     "subset_index": f"WITH x AS ({ranking.ORACLES['nested_subsets']}) SELECT subset, split, count(*) AS n, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM (SELECT doc_id, split, unnest(string_split(subsets, ',')) AS subset FROM x) GROUP BY 1, 2",
     "shard_numbers": f"SELECT * FROM {_SHARDS}",
     "file_problems": f"""SELECT name, problem FROM (SELECT coalesce(e.name, a.name) AS name, CASE WHEN a.digest IS NULL THEN 'missing' WHEN e.digest IS NULL THEN 'unlisted' WHEN e.bytes <> a.bytes THEN 'size' WHEN e.digest <> a.digest THEN 'digest' END AS problem
@@ -173,7 +173,7 @@ FROM {_FILES.format('false')} e FULL JOIN {_FILES.format('true')} a ON e.name =
     "inventory": f"SELECT sha256(string_agg(name || ':' || digest, chr(10) ORDER BY name, digest)) AS digest, count(*) AS files, sum(bytes)::BIGINT AS bytes FROM {_FILES.format('false')}",
     "hashed_files": f"""WITH r AS (SELECT doc_id, 'image' AS field, doc_id || '.txt' AS path FROM documents UNION ALL SELECT doc_id, 'image_path', source || '.txt' FROM documents WHERE doc_id % 2 = 0)
 SELECT doc_id, field, path, coalesce(digest, '') AS digest, CASE WHEN digest IS NULL THEN 'missing' ELSE 'ok' END AS status FROM r LEFT JOIN {_FILES.format('true')} f ON f.name = path""",
-    "split_problems": "SELECT * FROM (VALUES ('train', 1, true), ('val', 0, true), ('test', 0, true), ('other', 4, false)) v(split, expected, present)",
+    "split_problems": "SELECT split, expected::BIGINT AS expected, present FROM (VALUES ('train', 1, true), ('val', 0, true), ('test', 0, true), ('other', 4, false)) v(split, expected, present)",
     "events_by_window": "SELECT strftime(time_bucket(INTERVAL '10 minutes', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "dates": "SELECT o_orderkey, strftime(o_orderdate + INTERVAL 14 DAY, '%d.%m.%Y') AS due, 2 AS found FROM orders",
     "layouts": """WITH l(layout, family) AS (VALUES ('memo_page', 'specialized'), ('simple_table_page', 'table'), ('glossary_page', 'reference'), ('unknown_page', 'other'), (NULL, 'other')),
