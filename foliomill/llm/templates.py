@@ -11,7 +11,7 @@
    stands for two of the document.  A re-parameterised question does; a form that
    only looks alike does not.
 4. A document is contaminated by an item if consistent windows hold a share of
-   ``least_share`` of the item's windows.
+   ``least_share`` of the item's windows, or ``enough`` of them (a passage of 20 tokens of a long item).
 
 A bitmap of fixed size over the hashes of the benchmark's windows keeps windows
 that can't match from leaving the scan; it is exact, as what passes is joined.  Null
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from foliomill.llm.common import Remembered, mapped, stored, utf8, word_windows
 
-WIDTH, LEAST_LITERAL, LEAST_SHARE = 8, 4, 0.5
+WIDTH, LEAST_LITERAL, LEAST_SHARE, ENOUGH = 8, 4, 0.5, 13
 
 #: Units and number words (fixed values).
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years percent % $ € £ usd eur dollar dollars euro euros cent cents degree degrees mile miles meter meters metre metres kilometer kilometers liter liters gram grams kilogram kilograms pound pounds watt watts volt volts km/h mph".split())
@@ -167,7 +167,7 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, held: np.ndarr
     return mapped(src, run, _ROWS)
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least_literal: int = LEAST_LITERAL, least_share: float = LEAST_SHARE) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least_literal: int = LEAST_LITERAL, least_share: float = LEAST_SHARE, enough: int = ENOUGH) -> DataFrame:
     """Rows (id, item, n_windows, item_windows, share, exact): documents contaminated by items. exact: some alignment has the item's own values alone."""
     bench = stored(item_windows(items, item_col, item_text_col, width, least_literal), "items")
     sizes = bench.groupBy("id").agg(F.countDistinct("pos").alias("item_windows")).withColumnRenamed("id", "item")
@@ -182,5 +182,5 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     good = hits.join(clash, ["id", "item", "shift"], "left_anti")
     each = good.groupBy("id", "item", "item_pos").agg(F.max((F.col("slots") == F.col("item_slots")).cast("int")).alias("exact"))
     matched = each.groupBy("id", "item").agg(F.count(F.lit(1)).alias("n_windows"), F.min("exact").alias("exact"))
-    out = matched.join(sizes, "item").withColumn("share", F.col("n_windows") / F.col("item_windows")).where(F.col("share") >= least_share)
+    out = matched.join(sizes, "item").withColumn("share", F.col("n_windows") / F.col("item_windows")).where((F.col("share") >= least_share) | (F.col("n_windows") >= enough))
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows", "share", (F.col("exact") == 1).alias("exact"))
