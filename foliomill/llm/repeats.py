@@ -72,15 +72,14 @@ def longest_repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     a, b = array[:-1], array[1:]
     same = text[a] == text[b]
     a, b = a[same].copy(), b[same].copy()
+    stop = end[a]
     common = np.zeros(len(a), dtype=np.int64)
     for k in range(len(levels) - 1, -1, -1):
-        at = np.flatnonzero((a < end[a - (a >= n)]) & (b < end[b - (b >= n)])) if n else a
-        at = at[(text[np.minimum(a[at], n - 1)] == text[np.minimum(b[at], n - 1)])]
+        at = np.flatnonzero((a < stop) & (b < stop))
         hit = at[levels[k][a[at]] == levels[k][b[at]]]
         common[hit] += 1 << k
         a[hit] += 1 << k
         b[hit] += 1 << k
-        a, b = np.minimum(a, n), np.minimum(b, n)
     full = np.zeros(n, dtype=np.int64)
     full[np.flatnonzero(same)] = common
     out = np.zeros(n, dtype=np.int64)
