@@ -64,7 +64,8 @@ def near_duplicate_clusters(df: DataFrame, key: str, text: str, threshold: float
     """Every row with its component under similarity of masked 4-word shingles; rows without words are one cluster."""
     sets = similarity_shingles(F.col(text))
     prepared = df.select(key, sets.alias("s"))
-    equal = equal_links(prepared, key, F.sha2(F.array_join(F.array_sort("s"), "\n"), 256))
+    digests = stored(prepared.select(key, F.sha2(F.array_join(F.array_sort("s"), "\n"), 256).alias("digest")), "digests")
+    equal = equal_links(digests, key, F.col("digest"))
     near = similar_pairs(prepared, key, F.col("s"), threshold).select("a", "b")
     return graph.labelled(df.select(key).distinct(), equal.unionByName(near), key)
 
