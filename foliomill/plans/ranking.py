@@ -256,6 +256,8 @@ SELECT n_nationkey, row::INT AS row, c::INT AS col, x[c + 1] AS x1, x[c + 2] AS
     "gallery_options": f"SELECT DISTINCT 'language_mix' AS field, language_mix AS value FROM {_G} UNION ALL SELECT DISTINCT 'layout_id', layout_id FROM {_G} UNION ALL SELECT 'quality_profile', 'unknown'",
     "gallery_neighbours": f"SELECT * FROM (SELECT page_id, lag(page_id) OVER (ORDER BY row_index) AS previous, lead(page_id) OVER (ORDER BY row_index) AS next FROM {_G}) WHERE page_id = '17'",
     "neighbours_within": "SELECT doc_id, source, lag(doc_id) OVER w AS previous, lead(doc_id) OVER w AS next FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)",
+    "latest_reviews": """SELECT sample_id, visual_qa_status, reviewer_note, reviewed_at FROM (SELECT user_id::VARCHAR AS sample_id, event_type AS visual_qa_status, event_id::VARCHAR AS reviewer_note, ts::VARCHAR AS reviewed_at,
+row_number() OVER (PARTITION BY user_id ORDER BY ts::VARCHAR DESC, event_type DESC, event_id::VARCHAR DESC) AS k FROM events) WHERE k = 1""",
     "first_of_duplicates": "SELECT doc_id, place FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id)::INT AS place FROM documents) WHERE place > 1",
     "exact_text_clusters": r"""WITH l AS (SELECT doc_id, generate_subscripts(a, 1) AS i, regexp_replace(unnest(a), '^\s+|\s+$', '', 'g') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
 e AS (SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (t <> ''), '') AS e FROM l GROUP BY 1)
