@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ _SPACES = b" \t\n\x0b\x0c\r"
 #: Insults that the toxicity labeller knows (fixed values).
 INSULTS = frozenset(b"asshole bastard bitch clown crap cretin disgusting dumb dumbass filth fool freak hate idiot idiotic imbecile jerk loser moron moronic pathetic pig retard scum scumbag shit stupid trash ugly useless vermin worthless".split())
 
-QUALITY = ("symbols", "shouting", "table", "repeated", "narrow", "empty", "prose")
+QUALITY = ("symbols", "shouting", "table", "repeated", "narrow", "empty", "plain", "prose")
 TOXIC = ("insults", "insult_share")
 _ALL_SYMBOLS = bytes(set(range(256)) - set(SYMBOLS))
 
@@ -88,7 +88,7 @@ def votes(text: str | None) -> tuple[list[int], list[int], np.ndarray]:
     words = _words.numbers(raw)
     n = len(words)
     if not n:
-        return [-1, -1, -1, -1, -1, 0, -1], [-1, -1], words
+        return [-1, -1, -1, -1, -1, 0, -1, -1], [-1, -1], words
     symbols = len(raw.translate(None, _ALL_SYMBOLS)) / len(raw.translate(None, _SPACES))
     loud = _words.count(_words.loud, words) / n
     bars = int((words == _words[b"|"]).sum()) / n
@@ -99,7 +99,7 @@ def votes(text: str | None) -> tuple[list[int], list[int], np.ndarray]:
     insulting = _words.count(_words.insult, words)
     bad = lambda is_bad: 0 if is_bad else -1
     calm = symbols < 0.02 and loud < 0.05 and bars < 0.05 and same < 0.1
-    quality = [bad(symbols > 0.04), bad(loud > 0.2), bad(bars > 0.1), bad(long and (pairs < 0.5 or same > 0.25)), bad(long and distinct < 0.3), -1, 1 if calm and (not long or pairs > 0.8) else -1]
+    quality = [bad(symbols > 0.04), bad(loud > 0.2), bad(bars > 0.1), bad(long and (pairs < 0.5 or same > 0.25)), bad(long and distinct < 0.3), -1, 1 if calm else -1, 1 if calm and (not long or pairs > 0.8) else -1]
     toxic = [1 if insulting >= 2 else -1, 1 if insulting / n > 0.01 else -1]
     return quality, toxic, words
 
@@ -206,6 +206,11 @@ def train(rows: list[np.ndarray], target: np.ndarray, rounds: int = 300, rate: f
     return w.astype(np.float32)
 
 
+def _active_begin(active: bytearray, prefix: str) -> tuple[int, int, int] | None:
+    places = _begin(prefix)
+    return places if active[places[0]] or active[places[1]] or active[places[2]] else None
+
+
 class Scorer:
     """Chances of being good and of being toxic, from the weights alone; words without weight cost one look."""
 
@@ -217,11 +222,7 @@ class Scorer:
 
     def forget(self) -> None:
         self.generation, self.looked, self.found = _words.generation, bytearray(), {}
-        self.begin = Remembered(self._active_begin, most=200_000)
-
-    def _active_begin(self, prefix: str) -> tuple[int, int, int] | None:
-        places = _begin(prefix)
-        return places if self.active[places[0]] or self.active[places[1]] or self.active[places[2]] else None
+        self.begin = Remembered(partial(_active_begin, self.active), most=200_000)  # no reference back: a task's scorer goes with the task
 
     def _look(self, number: int, word: bytes) -> int:
         if not word:
@@ -253,8 +254,12 @@ class Scorer:
         return float(good), float(bad)
 
 
+#: From here on a document counts as good, as toxic.
+GOOD_FROM, TOXIC_FROM = 0.5, 0.4
+
+
 def kept(good: float, bad: float) -> bool:
-    return good >= 0.5 and bad < 0.5
+    return good >= GOOD_FROM and bad < TOXIC_FROM
 
 
 @dataclass
