@@ -58,7 +58,7 @@ class Interned(dict):
 class Remembered(dict):
     """Cache of fn(key) that holds at most ``most`` keys of at most ``longest`` characters."""
 
-    def __init__(self, fn, most: int = 400_000, longest: int = 48):
+    def __init__(self, fn, most: int = 120_000, longest: int = 48):
         super().__init__()
         self.fn, self.most, self.longest = fn, most, longest
 

@@ -64,7 +64,7 @@ class Counter:
         exact = all(s == int(s) and abs(s) < 2**31 for _, s in pieces)
         cuts = "".join(c for c in "\n\t\r" if not any(c in p for p, _ in pieces))
         self.words = re.compile(f"{SPACE}+[^{SPACE}{cuts}]*|[{cuts}]|[^{SPACE}{cuts}]+" if cuts else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall if inner and exact else lambda text: [text]
-        self.known = Remembered(self.word)
+        self.known = Remembered(self.word, most=400_000)
 
     def word(self, text: str) -> int:
         n = len(text)
