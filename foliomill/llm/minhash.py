@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import Remembered, mapped, mixed, split_join, starts_of, stored
+from foliomill.llm.common import Remembered, dropped, mapped, mixed, split_join, starts_of, stored
 from foliomill.llm.components import components
 from foliomill.llm.shingles import digest, shingle_set, similar
 
@@ -186,6 +186,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not rest.isEmpty():
         stars = components(stars.unionByName(confirmed(rest, texts_of(df, _ends(rest), id_col, text_col), percent)))
 
+    for table in (hits, pairs, texts, rest):
+        dropped(table)
     of_copies = moved.join(stars.select(F.col("a").alias("rep"), F.col("b").alias("of")), "rep", "left").select("id", F.coalesce("of", "rep").alias("of"))
     of_reps = stars.select(F.col("a").alias("id"), F.col("b").alias("of"))
     component = of_copies.unionByName(of_reps).groupBy("id").agg(F.min("of").alias("component_id"))
