@@ -9,7 +9,8 @@
 3. Matches of one item on one alignment (position in the document less that in
    the item) must fill the item's slots consistently: one value of the item never
    stands for two of the document.  A re-parameterised question does; a form that
-   only looks alike does not.
+   only looks alike does not.  Where a value clashes, only the windows that hold it
+   go, and of those none whose slots are the item's own.
 4. A document is contaminated by an item if consistent windows hold a share of
    ``least_share`` of the item's windows, or ``enough`` of them (a passage of 20 tokens of a long item).
 
@@ -168,7 +169,7 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, held: np.ndarr
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least_literal: int = LEAST_LITERAL, least_share: float = LEAST_SHARE, enough: int = ENOUGH) -> DataFrame:
-    """Rows (id, item, n_windows, item_windows, share, exact): documents contaminated by items. exact: some alignment has the item's own values alone."""
+    """Rows (id, item, n_windows, item_windows, share, exact): documents contaminated by items. exact: all windows found have the item's own values."""
     bench = stored(item_windows(items, item_col, item_text_col, width, least_literal), "items")
     sizes = bench.groupBy("id").agg(F.countDistinct("pos").alias("item_windows")).withColumnRenamed("id", "item")
     short = items.select(F.size(F.filter(F.split(F.col(item_text_col).cast("string"), r"[\x20\x09-\x0D]+"), lambda x: x != "")).alias("n")).where(f"n between 1 and {width - 1}").distinct()
@@ -178,9 +179,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     hits = stored(found.join(on_item, "hash").select("id", "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots"), "hits")
 
     filled = hits.select("id", "item", "shift", F.inline(F.arrays_zip("item_slots", "slots")).alias("was", "is"))
-    clash = filled.groupBy("id", "item", "shift", "was").agg(F.min("is").alias("low"), F.max("is").alias("high")).where("low != high").select("id", "item", "shift").distinct()
-    good = hits.join(clash, ["id", "item", "shift"], "left_anti")
-    each = good.groupBy("id", "item", "item_pos").agg(F.max((F.col("slots") == F.col("item_slots")).cast("int")).alias("exact"))
+    clash = filled.groupBy("id", "item", "shift", "was").agg(F.min("is").alias("low"), F.max("is").alias("high")).where("low != high").groupBy("id", "item", "shift").agg(F.collect_list("was").alias("clashing"))
+    own = F.col("slots") == F.col("item_slots")
+    good = hits.join(clash, ["id", "item", "shift"], "left").where(own | F.col("clashing").isNull() | ~F.arrays_overlap("item_slots", "clashing"))
+    each = good.groupBy("id", "item", "item_pos").agg(F.max(own.cast("int")).alias("exact"))
     matched = each.groupBy("id", "item").agg(F.count(F.lit(1)).alias("n_windows"), F.min("exact").alias("exact"))
     out = matched.join(sizes, "item").withColumn("share", F.col("n_windows") / F.col("item_windows")).where((F.col("share") >= least_share) | (F.col("n_windows") >= enough))
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows", "share", (F.col("exact") == 1).alias("exact"))

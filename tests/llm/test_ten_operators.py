@@ -51,6 +51,15 @@ def test_templates_want_consistent_slots(spark):
     assert [r.doc_id for r in templates.leaks(docs, items).collect()] == [0]
 
 
+def test_a_clash_removes_only_its_windows(spark):
+    words = [f"w{k}" for k in range(60)]
+    words[10] = words[45] = "2019"
+    again = "a man walks on from here to there all day and on through the night with 5 dogs and 5 cats behind him"
+    items = spark.createDataFrame([(1, " ".join(words)), (2, again)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, " ".join([*words[:45], "2020", *words[46:]])), (1, again.replace("5 d", "3 d").replace("5 c", "7 c"))], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id): r.n_windows for r in templates.leaks(docs, items).collect()} == {(0, 1): 53 - 8, (1, 2): 9}
+
+
 def test_leaks_against_passage_search(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     want = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
