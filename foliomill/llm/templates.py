@@ -5,18 +5,20 @@
    typed placeholders NUM, NAME and UNIT, whose values are kept as slots.
 2. Windows of ``width`` canonical tokens (a shorter item: all of it) of the benchmark are joined on
    their hash with those of the documents.  Windows with fewer than
-   ``least_literal`` tokens that are no placeholder are left out on both sides.
+   ``least_literal`` tokens that are no placeholder, and whole items of at most
+   ``width`` tokens, are plain: joined on their values, without placeholders.
 3. Matches of one item on one alignment (position in the document less that in
    the item) must fill the item's slots consistently: one value of the item never
    stands for two of the document.  A re-parameterised question does; a form that
    only looks alike does not.  Where a value clashes, only the windows that hold it
    go, and of those none whose slots are the item's own.
 4. A document is contaminated by an item if consistent windows hold a share of
-   ``least_share`` of the item's windows, or ``enough`` of them (a passage of 20 tokens of a long item).
+   ``least_share`` of the item's windows (of all, or of those with placeholders, whichever
+   is more), or ``enough`` of them (a passage of 20 tokens of a long item).
 
 A bitmap of fixed size over the hashes of the benchmark's windows keeps windows
 that can't match from leaving the scan; it is exact, as what passes is joined.  Null
-or empty texts and items without window: no match.  Null ids: no match.  Rows
+or empty texts and items: no match.  Null ids: no match.  Rows
 that share an id count as one document or item.
 """
 
@@ -44,6 +46,8 @@ LITERAL, NUM, UNIT, NAME = 0, 1, 2, 3
 FILTER_BITS = 24
 
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+#: For plain windows.
+_PLAIN = np.uint64(0x9FB21C651E98DF25)
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?([^\d\s]{0,12})$")
 _OUTER = ".,;:!?\"'()[]{}<>«»“”‘’…"
 _MARK = [np.uint64(xxhash.xxh64_intdigest(f"\0{k}")) for k in range(4)]
@@ -91,39 +95,47 @@ class _Tokens:
 _tokens = _Tokens()
 
 
-def windows(text: str | None, width: int = WIDTH, least_literal: int = LEAST_LITERAL) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Positions and hashes of a text's windows, classes and values of its tokens, and the windows' width."""
-    literal, kind, value = _tokens(text)
-    width = min(width, len(literal))
-    if not width:
-        return np.zeros(0, np.int64), literal, kind, value, 0
-    found = word_windows(literal, width, _BASE)
-    words = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-    keep = np.flatnonzero(words[width:] - words[:-width] >= min(least_literal, width))
-    return keep, found[keep], kind, value, width
+_ROWS = "id long, pos int, hash long, slots array<bigint>, plain boolean"
+
 
+class _Windows:
+    """Columns of windows: slots are the value hashes of the placeholders in order; a plain window has none."""
 
-_ROWS = "id long, pos int, hash long, slots array<bigint>"
+    def __init__(self) -> None:
+        self.columns: tuple[list, ...] = ([], [], [], [], [])
 
+    def add(self, key: int, at: np.ndarray, hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, width: int, plain: bool) -> None:
+        for p, h in zip(at.tolist(), hashes[at].view(np.int64).tolist(), strict=True):
+            slots = [] if plain else value[p : p + width][kind[p : p + width] != LITERAL].view(np.int64).tolist()
+            for column, x in zip(self.columns, (key, p, h, slots, plain), strict=True):
+                column.append(x)
 
-def _emitted(ids, positions, hashes, slots) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(positions, pa.int32()), pa.array(hashes, pa.int64()), pa.array(slots, pa.list_(pa.int64()))], ["id", "pos", "hash", "slots"])
+    def batch(self) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(self.columns, kinds, strict=True)], ["id", "pos", "hash", "slots", "plain"])
+
+
+def enough_literals(kind: np.ndarray, width: int, least_literal: int) -> np.ndarray:
+    """For each window whether it has tokens enough that are no placeholder."""
+    words = np.concatenate([[0], np.cumsum(kind == LITERAL)])
+    return words[width:] - words[:-width] >= min(least_literal, width)
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str, width: int, least_literal: int) -> DataFrame:
-    """Rows (id, pos, hash, slots) of all windows; slots: value hashes of the placeholders in order."""
+    """Rows (id, pos, hash, slots, plain) of all windows; a whole item of at most ``width`` tokens may have both kinds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: tuple[list, list, list, list] = ([], [], [], [])
+            rows = _Windows()
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                at, hashes, kind, value, w = windows(text, width, least_literal)
-                for p, h in zip(at.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    rows[0].append(item)
-                    rows[1].append(p)
-                    rows[2].append(h)
-                    rows[3].append(value[p : p + w][kind[p : p + w] != LITERAL].view(np.int64).tolist())
-            yield _emitted(*rows)
+                literal, kind, value = _tokens(text)
+                if not len(literal):
+                    continue
+                w = min(width, len(literal))
+                filled = enough_literals(kind, w, least_literal)
+                rows.add(item, np.flatnonzero(filled), word_windows(literal, w, _BASE), kind, value, w, False)
+                rows.add(item, np.flatnonzero(~filled | (len(literal) == w)), word_windows(value, w, _PLAIN), kind, value, w, True)
+            yield rows.batch()
 
     src = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return mapped(src, run, _ROWS)
@@ -139,30 +151,31 @@ def window_filter(found: DataFrame) -> np.ndarray:
     return out
 
 
-def document_windows(docs: DataFrame, id_col: str, text_col: str, held: np.ndarray, widths: list[int], least_literal: int) -> DataFrame:
-    """Windows of the documents that pass the filter, for each width that items have."""
+def document_windows(docs: DataFrame, id_col: str, text_col: str, held: np.ndarray, widths: list[int], whole: set[int], least_literal: int) -> DataFrame:
+    """Windows of the documents that pass the filter, for each width that items have; whole: widths of whole items."""
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = sent.value
+
+        def held_at(hashes: np.ndarray) -> np.ndarray:
+            top = hashes >> np.uint64(64 - FILTER_BITS)
+            return (bitmap[top >> np.uint64(5)] >> (top & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
+
         for batch in batches:
-            rows: tuple[list, list, list, list] = ([], [], [], [])
+            rows = _Windows()
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 literal, kind, value = _tokens(text)
-                words = np.concatenate([[0], np.cumsum(kind == LITERAL)])
                 for w in widths:
                     if len(literal) < w:
                         continue
+                    filled = enough_literals(kind, w, least_literal)
                     hashes = word_windows(literal, w, _BASE)
-                    top = hashes >> np.uint64(64 - FILTER_BITS)
-                    hit = np.flatnonzero((bitmap[top >> np.uint64(5)] >> (top & np.uint64(31)).astype(np.uint32)) & np.uint32(1))
-                    hit = hit[words[hit + w] - words[hit] >= min(least_literal, w)]
-                    for p in hit.tolist():
-                        rows[0].append(doc)
-                        rows[1].append(p)
-                        rows[2].append(int(hashes[p : p + 1].view(np.int64)[0]))
-                        rows[3].append(value[p : p + w][kind[p : p + w] != LITERAL].view(np.int64).tolist())
-            yield _emitted(*rows)
+                    rows.add(doc, np.flatnonzero(held_at(hashes) & filled), hashes, kind, value, w, False)
+                    if w in whole or not filled.all():
+                        hashes = word_windows(value, w, _PLAIN)
+                        rows.add(doc, np.flatnonzero(held_at(hashes) & (True if w in whole else ~filled)), hashes, kind, value, w, True)
+            yield rows.batch()
 
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return mapped(src, run, _ROWS)
@@ -171,18 +184,21 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, held: np.ndarr
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least_literal: int = LEAST_LITERAL, least_share: float = LEAST_SHARE, enough: int = ENOUGH) -> DataFrame:
     """Rows (id, item, n_windows, item_windows, share, exact): documents contaminated by items. exact: all windows found have the item's own values."""
     bench = stored(item_windows(items, item_col, item_text_col, width, least_literal), "items")
-    sizes = bench.groupBy("id").agg(F.countDistinct("pos").alias("item_windows")).withColumnRenamed("id", "item")
-    short = items.select(F.size(F.filter(F.split(F.col(item_text_col).cast("string"), r"[\x20\x09-\x0D]+"), lambda x: x != "")).alias("n")).where(f"n between 1 and {width - 1}").distinct()
-    widths = sorted({width, *(r.n for r in short.collect())})  # at most ``width`` of them
-    found = document_windows(docs, id_col, text_col, window_filter(bench), widths, least_literal)
-    on_item = bench.select(F.col("id").alias("item"), F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"))
-    hits = stored(found.join(on_item, "hash").select("id", "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots"), "hits")
+    each_size = bench.groupBy("id", "pos").agg(F.max((~F.col("plain")).cast("int")).alias("template"))
+    sizes = each_size.groupBy(F.col("id").alias("item")).agg(F.count(F.lit(1)).alias("all"), F.sum("template").alias("templates"))
+    short = items.select(F.size(F.filter(F.split(F.col(item_text_col).cast("string"), r"[\x20\x09-\x0D]+"), lambda x: x != "")).alias("n")).where(f"n between 1 and {width}").distinct()
+    whole = {r.n for r in short.collect()}  # at most ``width`` of them
+    found = document_windows(docs, id_col, text_col, window_filter(bench), sorted({width, *whole}), whole, least_literal)
+    on_item = bench.select(F.col("id").alias("item"), F.col("pos").alias("item_pos"), "hash", "plain", F.col("slots").alias("item_slots"))
+    hits = stored(found.join(on_item, ["hash", "plain"]).select("id", "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots", "plain"), "hits")
 
     filled = hits.select("id", "item", "shift", F.inline(F.arrays_zip("item_slots", "slots")).alias("was", "is"))
     clash = filled.groupBy("id", "item", "shift", "was").agg(F.min("is").alias("low"), F.max("is").alias("high")).where("low != high").groupBy("id", "item", "shift").agg(F.collect_list("was").alias("clashing"))
     own = F.col("slots") == F.col("item_slots")
     good = hits.join(clash, ["id", "item", "shift"], "left").where(own | F.col("clashing").isNull() | ~F.arrays_overlap("item_slots", "clashing"))
-    each = good.groupBy("id", "item", "item_pos").agg(F.max(own.cast("int")).alias("exact"))
-    matched = each.groupBy("id", "item").agg(F.count(F.lit(1)).alias("n_windows"), F.min("exact").alias("exact"))
-    out = matched.join(sizes, "item").withColumn("share", F.col("n_windows") / F.col("item_windows")).where((F.col("share") >= least_share) | (F.col("n_windows") >= enough))
+    each = good.groupBy("id", "item", "item_pos").agg(F.max(own.cast("int")).alias("exact"), F.max((~F.col("plain")).cast("int")).alias("template"), F.max(F.when(~F.col("plain"), own.cast("int"))).alias("template_exact"))
+    matched = each.groupBy("id", "item").agg(F.count(F.lit(1)).alias("n"), F.sum("template").alias("n_templates"), F.min("exact").alias("exact"), F.min("template_exact").alias("template_exact"))
+    side = lambda n, of, exact: F.struct((F.col(n) / F.nullif(F.col(of), F.lit(0))).alias("share"), F.col(n).alias("n_windows"), F.col(of).alias("item_windows"), F.col(exact).alias("exact"))
+    out = matched.join(sizes, "item").withColumn("best", F.greatest(side("n", "all", "exact"), side("n_templates", "templates", "template_exact")))
+    out = out.where((F.col("best.share") >= least_share) | (F.col("n") >= enough)).select("id", "item", "best.*")
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows", "share", (F.col("exact") == 1).alias("exact"))

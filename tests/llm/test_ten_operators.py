@@ -60,6 +60,15 @@ def test_a_clash_removes_only_its_windows(spark):
     assert {(r.doc_id, r.item_id): r.n_windows for r in templates.leaks(docs, items).collect()} == {(0, 1): 53 - 8, (1, 2): 9}
 
 
+def test_short_and_placeholder_heavy_items_are_found(spark):
+    texts = ["What is 17 * 24?", "How many days in March?", "Which river flows through the old town?", "17 24 days 31 5 hours 12 miles 9 weeks 3 cents 44 pounds", "Add 5 to 6 and 7 to 8 then 9 to 10 then 11 and 12 all of it then once more"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([*((k, f"A heading\n{t}\nand more") for k, t in enumerate(texts)), (5, "What is 18 * 24? How many days in April?"), (6, texts[4].replace("5 to 6", "1 to 2")), (7, "a heading\nWHAT IS 17 * 24")], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in templates.leaks(docs, items).collect()}
+    assert set(found) == {*((k, k) for k in range(5)), (6, 4), (7, 0)}
+    assert all(r.exact and r.share == 1 for k, r in found.items() if k[0] in (0, 1, 2, 3, 7))
+
+
 def test_leaks_against_passage_search(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     want = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
