@@ -36,7 +36,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies and words that the mix takes of each document."""
+    """Copies and words that the mix takes of each document: one row per document, with copies = 0 too; mix() has the documents."""
     return mixing.sampled(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
@@ -52,10 +52,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all stages but the last leave of documents."""
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stored(docs, f"stage{k}")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        docs = stored(stage(spark, docs, sf_dir), f"stage{k}")
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return STAGES[-1][1](spark, kept(spark, sf_dir), sf_dir)
+
+
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's documents as the mix takes them: one row per copy, numbered in copy_no."""
+    return mixing.mixed(kept(spark, sf_dir))

@@ -56,11 +56,12 @@ def offset(source: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit("\0")))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def sampled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, bucket_digits: int = 2) -> DataFrame:
-    """One row per row of df: id, source, size, source_size, target, copies, taken."""
+def sampled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, bucket_digits: int = 2, row_col: str | None = None) -> DataFrame:
+    """One row per row of df: id, source, size, source_size, target, copies, taken; and row_col, a number of the row, if it is given."""
+    row = [row_col] if row_col else []
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("\0"))))
     named = F.col(source_col).cast("string")
-    rows = df.select(F.col(id_col).cast("long").alias("id"), named.isNull().alias("no_source"), F.coalesce(named, F.lit("")).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), named.isNull().alias("no_source"), F.coalesce(named, F.lit("")).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"), *row)
     rows = stored(rows.withColumn("bucket", F.substring("key", 1, bucket_digits)), "mixing")
     of = ["no_source", "source"]
     groups = rows.groupBy(*of, "size", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn("class", size_class(F.col("size")))
@@ -72,15 +73,16 @@ def sampled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     groups = groups.withColumn("group_before", F.coalesce(F.sum("n").over(within), F.lit(0)))
     groups = groups.join(heads, [*of, "class"]).select(*of, "size", "bucket", (F.col("class_before") + F.col("group_before")).alias("before"), "source_size", "target")
     out = rows.join(groups, [*of, "size", "bucket"])
-    rank = F.col("before") + F.row_number().over(Window.partitionBy(*of, "size", "bucket").orderBy("key", "id"))
+    rank = F.col("before") + F.row_number().over(Window.partitionBy(*of, "size", "bucket").orderBy("key", "id", *row))
     out = out.withColumn("rank", rank).withColumn("each", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     named_or_null = F.when(~F.col("no_source"), F.col("source"))
     crossed = lambda k: F.floor(k * F.col("each") + offset(named_or_null, seed))
     out = out.withColumn("copies", (crossed(F.col("rank")) - crossed(F.col("rank") - 1)).cast("long"))
-    return out.select(F.col("id").alias(id_col), named_or_null.alias("source"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select(F.col("id").alias(id_col), named_or_null.alias("source"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *row)
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
-    """The mix itself: rows of df, each as often as sampled() says, numbered in copy_no. Needs ids that are unique and not null."""
-    taken = sampled(df, id_col, text_col, source_col, seed).where("copies > 0").select(F.col(id_col).alias("_mix_id"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no"))
-    return df.join(taken, df[id_col] == F.col("_mix_id")).drop("_mix_id")
+    """The mix itself: rows of df, each as often as sampled() says, numbered in copy_no. Ids may be null or repeated."""
+    rows = stored(df.withColumn("_mix_row", F.monotonically_increasing_id()), "mixed")
+    taken = sampled(rows, id_col, text_col, source_col, seed, row_col="_mix_row").where("copies > 0")
+    return rows.join(taken.select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no")), "_mix_row").drop("_mix_row")

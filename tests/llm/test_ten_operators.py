@@ -438,6 +438,21 @@ def test_mixing(spark):
     assert mixing.mixed(df.where("doc_id is not null and doc_id <> 5"), text_col="text").count() > 0
 
 
+def test_the_mix_has_a_row_for_each_copy(spark):
+    rows = [(k % 40 if k % 9 else None, f"n{k} " + "w " * (k % 30), "abc"[k % 3] if k < 60 else "a") for k in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, made = collections.Counter(), collections.Counter()
+    for x in mixing.sampled(df).collect():
+        taken[x.source] += x.copies
+    mix = mixing.mixed(df)
+    assert mix.columns == [*df.columns, "copy_no"]
+    found = [(r.doc_id, r.text, r.source, r.copy_no) for r in mix.collect()]
+    for *_, source, _n in found:
+        made[source] += 1
+    assert made == +taken
+    assert len(set(found)) == len(found) and {x[:3] for x in found} < set(rows)
+
+
 def test_no_sources(spark):
     assert mixing.sampled(documents(spark, ODD).limit(0)).count() == 0
 

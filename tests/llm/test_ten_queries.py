@@ -58,3 +58,11 @@ def test_stages(spark):
     assert kept[1][1] < kept[1][0]
     assert kept[4][0] == kept[4][1]
     assert corpus_pipeline.run(spark, SF).count() == kept[4][1]
+
+
+def test_mix_has_the_copies_that_the_pipeline_decides(spark):
+    want = {r.doc_id: r.copies for r in corpus_pipeline.run(spark, SF).collect()}
+    mix = corpus_pipeline.mix(spark, SF)
+    assert mix.columns == [*spark.read.parquet(f"{SF}/documents.parquet").columns, "copy_no"]
+    assert 0 in want.values() and max(want.values()) > 1
+    assert Counter(r.doc_id for r in mix.collect()) == +Counter(want)
