@@ -31,7 +31,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = L
     """sizes: no_source, source, source_size (one row per source). Adds weight and target; what a source can't take is shared anew by weight.
 
     All sources are ordered by the level at which they fill up; the level is the
-    first that no source below it exceeds. One row per source, so one window is enough.
+    first, in the window's order, that no source below it exceeds; of sources that tie only the first has all their room. One row per source, so one window is enough.
     """
     place = F.row_number().over(Window.orderBy("no_source", "source")) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
@@ -41,7 +41,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = L
     everything = Window.partitionBy()
     before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     x = x.withColumn("level", (F.sum("source_size").over(everything) - F.coalesce(F.sum("room").over(before), F.lit(0))).cast("double") / F.sum("weight").over(rest))
-    x = x.withColumn("level", F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "level"))).over(everything)["level"])
+    x = x.withColumn("level", F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "no_source", "source", "level"))).over(everything)["level"])
     return x.select("no_source", "source", "source_size", "weight", F.least(F.col("room").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 

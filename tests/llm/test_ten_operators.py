@@ -438,6 +438,14 @@ def test_mixing(spark):
     assert mixing.mixed(df.where("doc_id is not null and doc_id <> 5"), text_col="text").count() > 0
 
 
+def test_targets_of_sources_that_tie(spark):
+    for sizes in ({"a": 90, "b": 90, "c": 90, "d": 90}, {"a": 500, "b": 200, "c": 100, "d": 7, None: 200}, {"a": 5, "b": 2, "c": 1, "d": 5}):
+        df = spark.createDataFrame([(s is None, s or "", n) for s, n in sizes.items()], "no_source boolean, source string, source_size long")
+        found = {None if r.no_source else r.source: r.target for r in mixing.targets(df).collect()}
+        assert found == pytest.approx(share_out(sizes))
+        assert sum(found.values()) == pytest.approx(sum(sizes.values()))
+
+
 def test_the_mix_has_a_row_for_each_copy(spark):
     rows = [(k % 40 if k % 9 else None, f"n{k} " + "w " * (k % 30), "abc"[k % 3] if k < 60 else "a") for k in range(240)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
