@@ -121,7 +121,7 @@ def variants(s: SparkSession, d: str) -> DataFrame:
 
 def planned_pages(s: SparkSession, d: str) -> DataFrame:
     """Pages planned for as many documents as there are; draws are hashes, so no SQL is needed to repeat them."""
-    return sampling.plan(s, 2000, 3, LAYOUTS, {"kk": 0.5, "ky": 0.5}, {"clean": 0.7, "worn": 0.3})
+    return sampling.plan(s, read(s, d, "documents").count(), 3, LAYOUTS, {"kk": 0.5, "ky": 0.5}, {"clean": 0.7, "worn": 0.3})
 
 
 def _gallery(s: SparkSession, d: str) -> DataFrame:

@@ -28,7 +28,7 @@ def matched_in_order(s: SparkSession, d: str) -> DataFrame:
 
 def defaulted_arrays(s: SparkSession, d: str) -> DataFrame:
     turns = read(s, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    ids = s.range(0, 1200).select(F.col("id").alias("conv_id"))
+    ids = s.range(0, 1200).select(F.col("id").alias("conv_id")).union(turns.select("conv_id").where("conv_id is not null")).distinct()
     return relate.with_default_array(ids, turns, "conv_id", "turns").select("conv_id", F.array_join(F.transform("turns", lambda t: t.cast("string")), ",").alias("turns"))
 
 
