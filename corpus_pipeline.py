@@ -18,16 +18,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return weak.filtered(docs, weak.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs, stored, with a number of the row in _row: ids may be null or repeated."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the smallest id."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct().hint("shuffle_hash"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    """One row of each group of near-duplicates stays, that with the smallest id; rows without id come last."""
+    in_order = docs.withColumn("_at", F.monotonically_increasing_id()).orderBy(F.col("doc_id").isNull(), "doc_id", "_at").drop("_at")
+    rows = numbered(in_order)  # in the ids' order, so that the smallest number of a group is its smallest id's
+    gone = minhash.near_duplicates(rows, "_row").where("not kept").select("_row").distinct()
+    return rows.join(gone.hint("shuffle_hash"), "_row", "left_anti").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    gone = templates.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    """Rows that hold a benchmark item go, whatever their ids."""
+    rows = numbered(docs)
+    gone = templates.leaks(rows, table(spark, sf_dir, "benchmark"), "_row").select("_row").distinct()
+    return rows.join(gone.hint("shuffle_hash"), "_row", "left_anti").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,15 @@ def test_mix_has_the_copies_that_the_pipeline_decides(spark):
     assert mix.columns == [*spark.read.parquet(f"{SF}/documents.parquet").columns, "copy_no"]
     assert 0 in want.values() and max(want.values()) > 1
     assert Counter(r.doc_id for r in mix.collect()) == +Counter(want)
+
+
+def test_stages_judge_rows_with_null_and_repeated_ids(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    one, two = (" ".join(f"{c}{k}" for k in range(50)) for c in "pq")
+    rows = [(None, one), (7, one), (5, one), (5, one), (5, two), (None, two), (None, "alone"), (3, "only"), (3, "other"), (None, f"See. {item}"), (4, f"So. {item}"), (4, "fine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    assert near.columns == docs.columns
+    assert sorted(map(tuple, (r for r in near.collect() if item not in r.text)), key=repr) == sorted([(5, one), (5, two), (None, "alone"), (3, "only"), (3, "other"), (4, "fine")], key=repr)
+    clean = corpus_pipeline.decontamination_stage(spark, docs, SF)
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted((r for r in rows if item not in r[1]), key=repr)
