@@ -160,6 +160,111 @@ def test_expectation_maximisation_finds_accuracies():
     assert found == sorted(found, reverse=True)
 
 
+def test_expectation_maximisation_against_plain_loops():
+    """The same model by loops over single documents, without patterns and counts."""
+    r = np.random.default_rng(5)
+    truth = r.random(400) < 0.3
+    votes = np.stack([np.where(r.random(400) < 0.7, np.where(r.random(400) < p, truth, ~truth), -1) for p in (0.9, 0.8, 0.7)], 1).astype(int)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    found = weak.expectation_maximisation(patterns, counts.astype(float), 0.4, rounds=7)
+
+    n, share = len(votes), 0.4
+    chance, prior = {}, {}
+    for k in range(3):
+        tally = collections.Counter(votes[:, k].tolist())
+        nothing = (tally[-1] + 1) / (n + 3)
+        for c in (0, 1):
+            for v in (-1, 0, 1):
+                chance[c, k, v] = nothing if v < 0 else (1 - nothing) * (weak.TRUST if v == c else 1 - weak.TRUST)
+                prior[c, k, v] = (share if c else 1 - share) * chance[c, k, v] * weak.PRIOR * n + 0.1
+    for _ in range(7):
+        total, seen = 0.0, dict.fromkeys(chance, 0.0)
+        for row in votes.tolist():
+            good, bad = share, 1 - share
+            for k, v in enumerate(row):
+                good, bad = good * chance[1, k, v], bad * chance[0, k, v]
+            p = good / (good + bad)
+            total += p
+            for k, v in enumerate(row):
+                seen[1, k, v] += p
+                seen[0, k, v] += 1 - p
+        for c in (0, 1):
+            for k in range(3):
+                whole = sum(seen[c, k, v] + prior[c, k, v] for v in (-1, 0, 1))
+                for v in (-1, 0, 1):
+                    chance[c, k, v] = (seen[c, k, v] + prior[c, k, v]) / whole
+        share = total / n
+    assert found.share == pytest.approx(share)
+    for (c, k, v), p in chance.items():
+        assert found.chance[c, k, v + 1] == pytest.approx(p)
+
+
+def arrow(texts):
+    import pyarrow as pa
+
+    return pa.array(texts, pa.string())
+
+
+def test_words_of_a_batch():
+    texts = ["  Réeux rÉeux, réeux\u00a0b\tx\x1f| |", None, "", " \n", "a", "é" * 40 + " a a"]
+    w = weak.Words(arrow(texts))
+    words = [(t or "").encode().split() for t in texts]
+    assert w.sizes.tolist() == list(map(len, words))
+    assert [w.words[int(k)].as_py().encode() for k in w.at] == [x for ws in words for x in ws]
+    again = weak.Words(arrow(["zz", *texts]).slice(1))
+    assert again.sizes.tolist() == w.sizes.tolist()
+    text, begin = w.repeated(5)
+    assert text.tolist() == [0] and len(begin) == 1  # réeux three times; the long word once
+
+
+def test_votes_look_at_their_own_evidence():
+    prose = "This is a plain line of words. It goes on for a while, and then it ends here. "
+    texts = [prose * 1, "WORD!! LOUD!! THIS!! IS!! VERY!! MUCH!! SO!! HERE!! AND!! THERE!!", "a| | b | c | d | e | f | g |", "abc### def%%% ghi&&& jkl***", "again " * 40, "", None, "you are an idiot", "what a m0r0n and 1d10t he is", "IDIOT", "a stupid idiot, scum of the earth"]
+    quality, toxic = weak.votes(weak.Words(arrow(texts)))
+    q = lambda row, name: int(quality[row, weak.QUALITY.index(name)])
+    t = lambda row, name: int(toxic[row, weak.TOXIC.index(name)])
+    assert (q(0, "letters"), q(0, "pairs"), q(0, "sentences"), q(0, "symbols")) == (1, 1, 1, -1)
+    assert (q(1, "shouting"), q(1, "letters"), q(2, "table"), q(3, "symbols"), q(4, "narrow"), q(4, "pairs")) == (0, 0, 0, 0, 0, 0)
+    assert (q(5, "empty"), q(6, "empty"), q(5, "letters")) == (0, 0, -1)
+    assert [t(7, k) for k in weak.TOXIC] == [1, -1, -1, -1, 1]
+    assert (t(8, "disguised"), t(8, "persons"), t(9, "addressed")) == (1, -1, 1)
+    assert [t(10, k) for k in ("persons", "contempt", "filth")] == [1, 1, 1]
+    assert [t(0, k) for k in weak.TOXIC] == [-1] * 5
+
+
+def test_long_and_short_texts_score_alike_in_any_batch():
+    r = np.random.default_rng(3)
+    weights = r.normal(size=(2, weak.DIMENSIONS + 1))
+    score = weak.Scorer(*weights)
+    texts = [" ".join(r.choice(["aa", "Bb.", "çc", "dd,", "|"], n)) for n in (3, 30_000, 1, 0, 50)] + [None]
+    good, bad = score(arrow(texts))
+    for k, t in enumerate(texts):
+        one = score(arrow([t]))
+        assert (one[0][0], one[1][0]) == (good[k], bad[k])
+
+
+def test_posteriors_are_not_the_labels(spark):
+    """Without labels the method reaches its accuracy held out; with them the training labels are still those of expectation-maximisation."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = weak.fit(docs)
+    held = weak.scored(docs, model).join(labels, "doc_id")
+    right = held.agg(F.avg(((F.col("p_quality") >= 0.5) == (F.col("quality") == 1)).cast("int")), F.avg(((F.col("p_toxic") >= 0.5) == (F.col("toxic") == 1)).cast("int"))).first()
+    assert right[0] > 0.97
+    assert right[1] > 0.95
+    patterns = np.array(list(itertools.product((-1, 0, 1), repeat=3)))
+    assert len(np.unique(model.quality.posterior(np.pad(patterns, ((0, 0), (0, len(weak.QUALITY) - 3)), constant_values=-1)).round(6))) > 5
+
+
+def test_repeated_rows_and_labels_without_use(spark):
+    """One id with many rows, null labels and a fit bound below the rows."""
+    rows = [(1 if k < 300 else k, f"plain words number {k % 5}. They go on and on like that, row by row.") for k in range(600)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("order", F.lit("x")).withColumn("id", F.lit("y")).withColumn("toxic", F.lit(2))
+    labels = spark.createDataFrame([(1, None), (None, 1), (400, 1), (400, 0), (401, 0)], "doc_id long, toxic int")
+    model = weak.fit(docs, labels, fit_rows=50)
+    assert weak.scored(docs, model).count() == 601
+    assert weak.fit(docs, labels.limit(0), fit_rows=50, fit_places=1) is None  # room for no document
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = weak.fit(docs, labels.where("doc_id % 2 = 0"))
