@@ -37,7 +37,9 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.quality(table(spark, sf_dir, "documents")).drop("longest_repeat")
+    """longest_repeat up to one more than its limit, as in the SQL."""
+    found = repeats.quality(table(spark, sf_dir, "documents"))
+    return found.withColumn("longest_repeat", F.least("longest_repeat", F.lit(repeats.Limits.longest_repeat + 1).cast("long")))
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,25 +91,29 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, do
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
+_LIMITS = repeats.Limits()
+
 _OP6 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '{WORD}') AS words FROM d),
 p AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS n FROM w),
-win AS (SELECT r, i, n, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS k,
-        list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 200 FOLLOWING) AS long FROM p),
-twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, k) > 1 AND i + 7 <= n AS hit FROM win),
-covered AS (SELECT r, max(hit::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS c FROM twice),
-reps AS (SELECT r, sum(c) AS n_repeat_words FROM covered GROUP BY r),
-longs AS (SELECT r, max(m) > 1 AS too_long FROM (SELECT r, count(*) AS m FROM win WHERE i + 200 <= n GROUP BY r, long) GROUP BY r),
+win AS (SELECT r, i, n, word, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {_LIMITS.base_words - 1} FOLLOWING) AS k,
+        list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {_LIMITS.min_words - 1} FOLLOWING) AS short,
+        list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {_LIMITS.longest_repeat} FOLLOWING) AS long FROM p),
+twice AS (SELECT r, i, word, count(*) OVER (PARTITION BY r, k) > 1 AND i + {_LIMITS.base_words - 1} <= n AS hit, count(*) OVER (PARTITION BY r, short) > 1 AND i + {_LIMITS.min_words - 1} <= n AS hit_short FROM win),
+covered AS (SELECT r, word, max(hit::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {_LIMITS.base_words - 1} PRECEDING AND CURRENT ROW) AS c,
+  max(hit_short::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {_LIMITS.min_words - 1} PRECEDING AND CURRENT ROW) AS s FROM twice),
+reps AS (SELECT r, sum(c) AS n_repeat_words, sum(s * length(word)) AS n_covered_chars FROM covered GROUP BY r),
+sorted AS (SELECT r, long AS a, lead(long) OVER (PARTITION BY r ORDER BY long) AS b FROM win),
+longs AS (SELECT r, max(coalesce(nullif(list_position(list_transform(range(1, least(len(a), len(b)) + 1), lambda x: a[x] <> b[x]), true), 0) - 1, least(len(a), len(b)))) AS longest FROM sorted WHERE b IS NOT NULL GROUP BY r),
 lines AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
           WHERE regexp_matches(line, '{WORD}') GROUP BY r),
 x AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
       len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
-      coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(too_long, false) AS too_long
+      coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_covered_chars, 0)::BIGINT AS n_covered_chars, coalesce(longest, 0)::BIGINT AS longest_repeat
       FROM w LEFT JOIN reps USING (r) LEFT JOIN longs USING (r) LEFT JOIN lines USING (r))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR too_long) AS kept FROM x
+SELECT *, n_words < {_LIMITS.fewest_words} OR 100 * n_repeat_words > {_LIMITS.base_repeat_percent} * n_words AS base_failed,
+  NOT (n_words < {_LIMITS.fewest_words} OR 100 * n_repeat_words > {_LIMITS.base_repeat_percent} * n_words OR 100 * n_covered_chars > {_LIMITS.covered_percent} * word_chars OR longest_repeat > {_LIMITS.longest_repeat}) AS kept FROM x
 """
 
 _OP7 = r"""

@@ -2,15 +2,22 @@
 
 The words of each text become a suffix array by prefix doubling (ranks at
 1, 2, 4, ... words; only suffixes still tied are sorted again).  The longest
-common prefix of neighbours in the array is read off those ranks, which gives
-for each word position the longest substring that starts there and occurs
-elsewhere in the text: the longest-common-prefix interval it lies in.  Spans of
-repeats of at least ``min_words`` words are united; their share of the text and
-the longest repeat are limited.
+common prefixes of neighbours in the array follow from the first ranks where
+they are short, and else in the texts' order, each from the one before it
+(Kasai's bound).  They give for each word position the longest substring that
+starts there and occurs elsewhere in the text: the longest-common-prefix
+interval it lies in.
+
+The base rule counts words in repeats of ``base_words`` words.  The method's own
+limits are stricter on long repeats and see shorter ones: repeats of
+``min_words`` words may cover ``covered_percent`` of the text's characters at most,
+and no repeat may be longer than ``longest_repeat`` words.
 
 Ranks compare words, not hashes, so repeats are exact.  Several texts share one
 array (the text's number leads the key), so short texts cost no more than long
-ones; what is held grows with one batch or the longest text.  Null text: no words.
+ones; what is held grows with one batch or the longest text, by about a dozen
+numbers a word.  Null or blank text: no words, base failed.  Null ids and repeated
+rows: a row each.  Other columns of the table don't matter.
 """
 
 from __future__ import annotations
@@ -31,13 +38,14 @@ TOGETHER = 150_000
 
 @dataclass(frozen=True)
 class Limits:
-    """Base limits are fixed by the rule; the two others are the method's."""
+    """Base limits are fixed by the rule; the three others are the method's."""
 
-    min_words: int = 8
+    base_words: int = 8
     fewest_words: int = 20
     base_repeat_percent: int = 30
-    covered_percent: int = 30
-    longest_repeat: int = 200
+    min_words: int = 4
+    covered_percent: int = 25
+    longest_repeat: int = 50
 
 
 def longest_repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -52,42 +60,59 @@ def longest_repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     order = np.argsort(key, kind="stable")
     rank = np.empty(n, dtype=np.int64)
     rank[order] = _group_starts(key[order])
-    levels, width = [rank], 1
+    first = [rank]  # ranks by the first word, and by the first two; later ones replace each other
+    before, width = rank, 1
     tied = _tied(rank, np.arange(n), n)
+    four = tied[:0]  # positions whose first four words occur elsewhere in the text
     while len(tied):
-        rank = rank.copy()
         after = tied + width
         inside = after < end[tied]
-        key = rank[tied] * (n + 1)
-        key[inside] += levels[-1][after[inside]] + 1
+        key = before[tied] * (n + 1)
+        key[inside] += before[after[inside]] + 1
         order = np.argsort(key, kind="stable")
         at, key = tied[order], key[order]
-        old = levels[-1][at]
-        rank[at] = old + _group_starts(key) - _group_starts(old)
-        levels.append(rank)
-        width *= 2
+        rank = before.copy()
+        rank[at] += _group_starts(key) - _group_starts(before[at])
+        before, width = rank, width * 2
         tied = _tied(rank, tied, n)
+        if width == 2:
+            first.append(rank)
+        elif width == 4:
+            four = tied
     array = np.empty(n, dtype=np.int64)
     array[rank] = np.arange(n)
-    a, b = array[:-1], array[1:]
-    same = text[a] == text[b]
-    a, b = a[same].copy(), b[same].copy()
-    stop = end[a]
-    common = np.zeros(len(a), dtype=np.int64)
-    for k in range(len(levels) - 1, -1, -1):
-        at = np.flatnonzero((a < stop) & (b < stop))
-        hit = at[levels[k][a[at]] == levels[k][b[at]]]
-        common[hit] += 1 << k
-        a[hit] += 1 << k
-        b[hit] += 1 << k
-    full = np.zeros(n, dtype=np.int64)
-    full[np.flatnonzero(same)] = common
-    out = np.zeros(n, dtype=np.int64)
-    out[array[:-1]] = full[: n - 1]
-    out[array[1:]] = np.maximum(out[array[1:]], full[: n - 1])
+    following = np.full(n, -1)  # the next in the array, in the same text
+    following[array[:-1]] = np.where(text[array[:-1]] == text[array[1:]], array[1:], -1)
+    common = np.zeros(n, dtype=np.int64)
+    a = np.flatnonzero(following >= 0)
+    here, there, stop = a.copy(), following[a], end[a]
+    for k in reversed(range(len(first))):  # up to three words
+        at = np.flatnonzero((here < stop) & (there < stop))
+        hit = at[first[k][here[at]] == first[k][there[at]]]
+        common[a[hit]] += 1 << k
+        here[hit] += 1 << k
+        there[hit] += 1 << k
+    _from_the_one_before(words, end, four[following[four] >= 0], following, common)
+    out = common.copy()
+    some = a[common[a] > 0]
+    np.maximum.at(out, following[some], common[some])
     return out
 
 
+def _from_the_one_before(words: np.ndarray, end: np.ndarray, some: np.ndarray, following: np.ndarray, common: np.ndarray) -> None:
+    """Common prefixes of four words or more, at sorted positions: at most one word shorter than that of the position before."""
+    some = np.sort(some)
+    word, held, last = memoryview(np.ascontiguousarray(words)), 0, -2
+    for a, b, stop in zip(some.tolist(), following[some].tolist(), end[some].tolist(), strict=True):
+        held = held - 1 if a == last + 1 and held > 0 else 0
+        most = stop - max(a, b)
+        while held < most and word[a + held] == word[b + held]:
+            held += 1
+        if held >= 4:
+            common[a] = held
+        last = a
+
+
 def _group_starts(ordered: np.ndarray) -> np.ndarray:
     """For each of these sorted values, the index of the first that equals it."""
     new = np.empty(len(ordered), dtype=bool)
@@ -100,9 +125,21 @@ def _tied(rank: np.ndarray, among: np.ndarray, n: int) -> np.ndarray:
     return among[np.bincount(rank[among], minlength=n)[rank[among]] > 1]
 
 
+def _covered(length: np.ndarray, least: int) -> np.ndarray:
+    """Whether each word lies in a repeat of at least so many words."""
+    long = np.flatnonzero(length >= least)
+    delta = np.zeros(len(length) + 1, dtype=np.int64)
+    np.add.at(delta, long, 1)
+    np.add.at(delta, long + length[long], -1)
+    return np.cumsum(delta[:-1]) > 0
+
+
+LONGS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_chars", "longest_repeat")
+
+
 def profile(texts: list[str | None], limits: Limits = Limits()) -> dict[str, np.ndarray]:
     """Counts and verdicts of whole texts, by column."""
-    out = {k: np.zeros(len(texts), dtype=np.int64) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat")}
+    out = {k: np.zeros(len(texts), dtype=np.int64) for k in LONGS}
     batch: list[list[bytes]] = []
     first = held = 0
 
@@ -111,13 +148,11 @@ def profile(texts: list[str | None], limits: Limits = Limits()) -> dict[str, np.
         starts = starts_of(np.fromiter(map(len, batch), np.int64, len(batch)))
         ids = Interned()
         words = np.fromiter((ids[w] for ws in batch for w in ws), np.int64, int(starts[-1]))
+        size = np.fromiter((len(w.decode("utf-8", "surrogatepass")) for w in ids), np.int64, len(ids))
         length = longest_repeats(words, starts)
-        long = np.flatnonzero(length >= limits.min_words)
-        delta = np.zeros(len(words) + 1, dtype=np.int64)
-        np.add.at(delta, long, 1)
-        np.add.at(delta, long + length[long], -1)
-        covered = starts_of(np.cumsum(delta[:-1]) > 0)
-        out["n_repeat_words"][first:upto] = covered[starts[1:]] - covered[starts[:-1]]
+        for name, least, weight in (("n_repeat_words", limits.base_words, 1), ("n_covered_chars", limits.min_words, size[words])):
+            covered = starts_of(_covered(length, least) * weight)
+            out[name][first:upto] = covered[starts[1:]] - covered[starts[:-1]]
         full = np.flatnonzero(np.diff(starts))
         if len(full):
             out["longest_repeat"][first + full] = np.maximum.reduceat(length, starts[:-1][full])
@@ -137,21 +172,19 @@ def profile(texts: list[str | None], limits: Limits = Limits()) -> dict[str, np.
         lines = [x for x in raw.split(b"\n") if x.strip(b" \t\r\x0b\x0c")]
         out["n_dup_lines"][k] = len(lines) - len(set(lines))
     settle(len(texts))
-    n, repeated = out["n_words"], out["n_repeat_words"]
-    failed = (n < limits.fewest_words) | (100 * repeated > limits.base_repeat_percent * n)
+    n = out["n_words"]
+    failed = (n < limits.fewest_words) | (100 * out["n_repeat_words"] > limits.base_repeat_percent * n)
     out["base_failed"] = failed
-    out["kept"] = ~failed & (100 * repeated <= limits.covered_percent * n) & (out["longest_repeat"] <= limits.longest_repeat)
+    out["kept"] = ~failed & (100 * out["n_covered_chars"] <= limits.covered_percent * out["word_chars"]) & (out["longest_repeat"] <= limits.longest_repeat)
     return out
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """One row per row of df: id, counts, longest repeat in words, base_failed, kept. Nulls: see the module."""
-    longs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = profile(b.column(1).to_pylist(), limits)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[k]) for k in (*longs, "base_failed", "kept"))], ["id", *longs, "base_failed", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[k]) for k in (*LONGS, "base_failed", "kept"))], ["id", *LONGS, "base_failed", "kept"])
 
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return mapped(src, run, f"id long, {', '.join(f'{k} long' for k in longs)}, base_failed boolean, kept boolean").withColumnRenamed("id", id_col)
+    return mapped(src, run, f"id long, {', '.join(f'{k} long' for k in LONGS)}, base_failed boolean, kept boolean").withColumnRenamed("id", id_col)

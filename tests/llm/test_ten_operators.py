@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -402,6 +403,29 @@ def test_quality_rows(spark):
     assert found[len(ODD) + 1].longest_repeat == 250 and not found[len(ODD) + 1].kept
 
 
+def test_the_method_rejects_what_the_base_lets_pass():
+    r = random.Random(8)
+    own = lambda n: [f"v{r.randrange(10**9)}" for _ in range(n)]
+    passage, phrases = own(60), [own(5) for _ in range(8)]
+    once = " ".join([*own(300), *passage, *own(100), *passage, *own(200)])
+    often = " ".join(w for k in range(40) for w in (*phrases[k % 8], *own(6)))
+    found = repeats.profile([once, often, " ".join(own(300))])
+    assert found["base_failed"].tolist() == [False, False, False]
+    assert found["kept"].tolist() == [False, False, True]
+    assert found["longest_repeat"].tolist() == [60, 5, 0]
+    assert found["n_covered_chars"][1] == sum(len(w) for p in phrases for w in p) * 5
+
+
+def test_long_repeats_in_long_texts():
+    """A million words: one that repeats throughout, and one with a passage that comes twice."""
+    began = time.time()
+    words = [f"w{k}" for k in range(500_000)]
+    found = repeats.profile(["ab " * 1_000_000, " ".join([*words, *words[1000:250_000]])])
+    assert found["longest_repeat"].tolist() == [999_999, 249_000]
+    assert found["n_repeat_words"].tolist() == [1_000_000, 498_000]
+    assert time.time() - began < 60
+
+
 # --- 7
 
 
