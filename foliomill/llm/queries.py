@@ -144,7 +144,7 @@ _ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee
 def _op8_kind(rank: int, kind: str) -> str:
     pattern = _ASSIGN if kind == "assign" else secrets.PATTERNS[kind]
     value = f"regexp_extract_all(text, '{pattern}', 2)" if kind == "assign" else "m"
-    keep = "WHERE length(value) >= 6" if kind == "assign" else ""
+    keep = "WHERE length(value) >= 6" if kind == "assign" else f"WHERE regexp_matches(value, '{secrets.KEEP[kind]}')" if kind in secrets.KEEP else ""
     return f"""SELECT r, {rank} AS rank, '{kind}' AS kind, start, start + length(word) AS "end", value FROM (
   SELECT r, unnest(m) AS word, unnest(v) AS value, unnest(list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)))::BIGINT AS start
   FROM (SELECT r, m, {value} AS v, regexp_split_to_array(text, '{pattern}') AS gaps FROM (SELECT *, regexp_extract_all(text, '{pattern}') AS m FROM d) WHERE len(m) > 0)) {keep}"""
@@ -153,16 +153,16 @@ def _op8_kind(rank: int, kind: str) -> str:
 _OP8 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS owner, coalesce(source, chr(0)) || '/' || coalesce(lang, chr(0)) AS repo, coalesce(text, '') AS text FROM documents),
 s AS ({" UNION ALL ".join(_op8_kind(n, k) for n, k in enumerate(secrets.KINDS))}),
-held AS (SELECT count(DISTINCT owner) AS owners, value FROM s JOIN d USING (r) GROUP BY value),
-judged AS (SELECT r, CASE WHEN owners >= {secrets.COPIED_OWNERS} THEN 'copied'
-    WHEN owners = 1 AND len(list_distinct(string_split(value, ''))) >= {secrets.LIVE_CHARACTERS} AND NOT regexp_matches(value, '{secrets.EXAMPLES}') THEN 'live' ELSE 'shared' END AS is_
+held AS (SELECT count(DISTINCT owner) AS owners, count(DISTINCT owner || chr(1) || repo) AS repos, value FROM s JOIN d USING (r) GROUP BY value),
+judged AS (SELECT r, owners, repos, CASE WHEN owners >= {secrets.COPIED_OWNERS} OR repos >= {secrets.COPIED_REPOS} THEN 'copied'
+    WHEN owners = 1 AND repos <= {secrets.LIVE_REPOS} AND len(list_distinct(string_split(value, ''))) >= {secrets.LIVE_CHARACTERS} AND NOT regexp_matches(value, '{secrets.EXAMPLES}') THEN 'live' ELSE 'shared' END AS is_
   FROM (SELECT DISTINCT r, value FROM s) JOIN held USING (value)),
-verdict AS (SELECT r, count(*) FILTER (is_ = 'live') AS n_live, count(*) FILTER (is_ = 'shared') AS n_shared, count(*) FILTER (is_ = 'copied') AS n_copied FROM judged GROUP BY r),
+verdict AS (SELECT r, count(*) FILTER (is_ = 'live') AS n_live, count(*) FILTER (is_ = 'shared') AS n_shared, count(*) FILTER (is_ = 'copied') AS n_copied, max(owners) AS most_owners, max(repos) AS most_repos FROM judged GROUP BY r),
 spans AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) FILTER (rank < {len(secrets.BASE)}) AS base,
   string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) AS spans FROM s GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-  coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(n_copied, 0) AS n_copied
+  coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(n_copied, 0) AS n_copied, coalesce(most_owners, 0) AS most_owners, coalesce(most_repos, 0) AS most_repos
 FROM d LEFT JOIN spans USING (r) LEFT JOIN verdict USING (r)
 """
 

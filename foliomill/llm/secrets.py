@@ -2,13 +2,15 @@
 
 Candidates are found in each whole text; their values are hashed; hashes are
 counted by distinct owners and repositories over the whole corpus.  A value that
-many owners hold is a copied example; one that stays with a single owner and
-looks random is taken for a live credential.
+``COPIED_OWNERS`` owners or ``COPIED_REPOS`` repositories hold is a copied example; one that
+stays with a single owner, in at most ``LIVE_REPOS`` of its repositories, and looks random is
+taken for a live credential; what is in between is shared.
 
 Base kinds: assign, access, hex.  Kinds that the method adds: github, slack,
-jwt, pem.  Null text: no candidates.  A null owner or repository counts as one
+jwt, pem.  All patterns take time in proportion to the text, whatever it holds.
+Null text: no candidates.  A null owner or repository counts as one
 owner or repository of its own.  Rows are told apart by a number given when the
-candidates are stored, so repeated rows and null ids stay apart.
+candidates are stored, so repeated rows and null ids stay apart.  Other columns of the table don't matter.
 """
 
 from __future__ import annotations
@@ -29,14 +31,16 @@ PATTERNS = {
     "hex": r"[0-9a-f]{24,}",
     "github": r"gh[opsur]_[A-Za-z0-9]{36,}",
     "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}",
-    "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "jwt": r"eyJ[A-Za-z0-9_.-]*[A-Za-z0-9_-]",
     "pem": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
 }
+#: What a match must also be; one that isn't is dropped, and its text stays used up.
+KEEP = {"jwt": r"^eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"}
 #: A text without this string has no match.
 NEEDS = {"access": "AKIA", "github": "gh", "slack": "xox", "jwt": "eyJ", "pem": "-----BEGIN "}
 
-#: Owners from which a value counts as copied; distinct characters that a live-looking value has; words of examples.
-COPIED_OWNERS, LIVE_CHARACTERS, EXAMPLES = 3, 8, r"(?i)example|sample|changeme|placeholder|dummy|redacted|x{4,}|0{6,}|123456"
+#: Owners, repositories from which a value counts as copied; repositories that a live one has at most; distinct characters that it has; words of examples.
+COPIED_OWNERS, COPIED_REPOS, LIVE_REPOS, LIVE_CHARACTERS, EXAMPLES = 3, 5, 2, 8, r"(?i)example|sample|changeme|placeholder|dummy|redacted|x{4,}|0{6,}|123456"
 
 
 def _matches(kind: str) -> Column:
@@ -61,6 +65,8 @@ def _spans(kind: str) -> Column:
         return F.struct((start + x["length"]).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
     spans = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda acc: acc["spans"])
+    if kind in KEEP:
+        spans = F.filter(spans, lambda x: x["value"].rlike(KEEP[kind]))
     if kind == "assign":
         spans = F.filter(spans, lambda x: F.length(x["value"]) >= 6)
     return F.when(F.size(m) > 0, spans).otherwise(none)
@@ -91,7 +97,8 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """One row per row of df: counts by base kind, SHA-256 of the base spans, all spans, and how many values are live, shared or copied."""
+    """One row per row of df: counts by base kind, SHA-256 of the base spans, all spans, how many values are live, shared or copied,
+    and the most owners and repositories that one of its values has (0 without values)."""
     found = candidates(df, id_col, text_col, owner_col, repo_cols)
     base = F.filter("spans", lambda x: x["rank"] < len(BASE))
     looks = F.transform("spans", lambda x: F.struct(F.sha2(x["value"], 256).alias("hash"), ((F.size(F.array_distinct(F.split(x["value"], ""))) >= LIVE_CHARACTERS) & ~x["value"].rlike(EXAMPLES)).alias("random")))
@@ -104,7 +111,10 @@ def verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     )
     some = held.where(F.size("looks") > 0)
     values = some.select("row", F.inline("looks"))
-    judged = split_join(values, ownership(some), "hash").select("row", F.when(F.col("n_owners") >= COPIED_OWNERS, "copied").when((F.col("n_owners") == 1) & F.col("random"), "live").otherwise("shared").alias("is"))
-    counts = judged.groupBy("row").agg(*(F.count(F.when(F.col("is") == k, 1)).alias(f"n_{k}") for k in ("live", "shared", "copied")))
+    judged = split_join(values, ownership(some), "hash")
+    copied = (F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repos") >= COPIED_REPOS)
+    live = (F.col("n_owners") == 1) & (F.col("n_repos") <= LIVE_REPOS) & F.col("random")
+    judged = judged.select("row", "n_owners", "n_repos", F.when(copied, "copied").when(live, "live").otherwise("shared").alias("is"))
+    counts = judged.groupBy("row").agg(*(F.count(F.when(F.col("is") == k, 1)).alias(f"n_{k}") for k in ("live", "shared", "copied")), F.max("n_owners").alias("most_owners"), F.max("n_repos").alias("most_repos"))
     keep = held.select("row", id_col, *(f"n_{k}" for k in BASE), "base_sha256", "spans")
-    return keep.join(counts, "row", "left").select(*keep.columns[1:], *(F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in ("live", "shared", "copied")))
+    return keep.join(counts, "row", "left").select(*keep.columns[1:], *(F.coalesce(k, F.lit(0).cast("long")).alias(k) for k in ("n_live", "n_shared", "n_copied", "most_owners", "most_repos")))

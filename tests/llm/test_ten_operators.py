@@ -113,6 +113,57 @@ def test_added_kinds_and_redaction():
     assert pii.redacted(None) is None
 
 
+def test_addresses_of_any_length():
+    words = "A" + "b" * 24 + " C" + "d" * 80 + " E" + "f" * 25
+    for text, found in ((f"at 12 {words} Street now", True), ("7b Green Lane", True), ("x12 Green Lane", False), ("123456 Green Lane", False), ("12 green Lane", False), ("12 A B Lane", False), ("12  Green Lane", False), ("5 One Two Three Four Road", False), ("5 One Two ThreeRoad", True), ("12a3 Green Road", False)):
+        assert bool([x for x in pii.find(text) if x[0] == "address"]) == found, text
+    assert pii.find("12 Green StreetStreet") == [("address", 0, 15), ("address", 0, 21)]
+
+
+STREET = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]? (?:[A-Z][a-z]+ ){1,3}$")
+TAIL, USER = re.compile(r"[^\s\"'<>()\[\]{}]+"), re.compile(r"/(?:~|@|users?/|profile/|u/|in/)[A-Za-z0-9._-]+")
+
+
+def addresses(text):
+    """By trying every street word on all that is before it."""
+    out = []
+    for m in sorted((m for s in pii.STREETS for m in re.finditer(s, text)), key=lambda m: m.end()):
+        start = m.end()
+        while start and text[start - 1].isalpha():
+            start -= 1
+        if x := STREET.search(text[:start]):
+            out.append((x.start(), m.end()))
+    return out
+
+
+def profiles(text):
+    out = []
+    for m in re.finditer("://", text):
+        start = re.search(r"[A-Za-z0-9+.-]*$", text[: m.start()]).start()
+        tail = TAIL.match(text, m.end())
+        if start < m.start() and tail:
+            authority, slash, path = tail[0].partition("/")
+            if "@" in authority.strip("@") or USER.match(slash + path):
+                out.append((start, tail.end()))
+    return out
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["Street", "Lane", " ", " ", "12", "7b", "Green ", "Oak ", "x", "é", "a", "://", "http", "/users/", "ann", "@", "/", "(", "1"]), max_size=16).map("".join))
+def test_added_spans_against_plain_search(text):
+    found = pii.find(text)
+    assert [x[1:] for x in found if x[0] == "address"] == addresses(text)
+    assert [x[1:] for x in found if x[0] == "profile"] == profiles(text)
+
+
+@pytest.mark.parametrize("part", ["Street", "a://", "a://b", "1", "1.", "+1 ", "a@", "12 Aa ", "account 1", "Aa", "http://x/users/", "GB82 ", "- ", "@@", "+"])
+def test_long_texts_of_anchors(part):
+    text = part * (2_000_000 // len(part))
+    began = time.time()
+    pii.find(text)
+    assert time.time() - began < 10, part
+
+
 def test_pii_rows(spark):
     found = pii.digest(documents(spark, [*ODD, "mail a@b.cd"])).collect()
     assert len(found) == len(ODD) + 3
@@ -484,6 +535,25 @@ def test_owners_tell_examples_from_credentials(spark):
     assert found[9].spans == ""
 
 
+@pytest.mark.parametrize("part", ["eyJ", "eyJ-", "eyJa.", "password", "password ", "gho_", "xoxb-", "AKIA", "-----BEGIN ", "a1"])
+def test_long_texts_of_cues(part, spark):
+    rows = spark.createDataFrame([(1, part * (500_000 // len(part)), "s", "en")], "doc_id long, text string, source string, lang string")
+    began = time.time()
+    assert secrets.verdicts(rows).count() == 1
+    assert time.time() - began < 20, part
+
+
+def test_repositories_count(spark):
+    """One owner's value in many of its repositories is no live credential; tokens of three parts are found whole."""
+    one, two = "token = 9f8e7d6c5b4a39281706f5e4d3c2b1a0", "secret: qW8eR7tY6uI5oP4a"
+    jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK"
+    rows = [*((k, one, "a", f"l{k}") for k in range(4)), *((k, two, "b", f"l{k}") for k in range(10, 15)), (20, f"see {jwt}. eyJno.eyJno.no", "c", "en")]
+    found = {r.doc_id: r for r in secrets.verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert (found[0].n_live, found[0].n_shared, found[0].most_owners, found[0].most_repos) == (0, 1, 1, 4)
+    assert (found[10].n_copied, found[10].most_repos) == (1, 5)
+    assert found[20].spans == f"jwt:4:{4 + len(jwt)}"
+
+
 # --- 9
 
 
