@@ -15,19 +15,20 @@ Of pages with equal payloads, that with the largest id is a response record and
 the others are revisit records without payload that name it and carry digest
 and length of the full payload.  Null payload: empty.  Null id: never the one
 referred to, unless all are null; then all are responses.  Repeated rows of the
-largest id are all responses.
+largest id are all responses.  No pages: no bundles.  Other columns don't matter.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.llm.common import mapped, split_join, stored
@@ -39,11 +40,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "1970-01-01T00:00:00Z"
 
 
-def payload_digest(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1 of a binary column: 20 bits, or 5 hexadecimal digits, make 4 characters."""
-    sha = F.sha1(payload)
-    parts = [F.lpad(F.conv(F.substring(sha, 5 * k + 1, 5), 16, 32), 4, "0") for k in range(8)]
-    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+def base32(sha: str) -> str:
+    """Bare upper-case base32 of a hexadecimal SHA-1."""
+    return base64.b32encode(bytes.fromhex(sha)).decode()
 
 
 def header(fields: list[tuple[str, str]]) -> bytes:
@@ -132,10 +131,10 @@ def parsed(data: bytes, at: int = 0) -> Iterator[tuple[int, dict[str, str], byte
 
 
 def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """id, url, payload, digest, refers_to. Payloads are moved once, by id; the groups of equal ones are found on digests."""
+    """id, url, payload, digest (SHA-1, hexadecimal), refers_to. Payloads are moved once, by id; the groups of equal ones are found on digests."""
     payload = F.encode(F.coalesce(F.col(payload_col).cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", payload_digest(F.col("payload")))
+    rows = rows.withColumn("digest", F.sha1("payload"))
     small = rows.select("id", "digest")
     repeated = small.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").drop("n")
     revisits = split_join(small, repeated, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))).select(F.coalesce("id", F.lit(-1)).alias("key"), F.col("id").isNull().alias("none"), F.col("digest").alias("of"), "refers_to").distinct()
@@ -158,7 +157,7 @@ def bundled(plan: DataFrame) -> DataFrame:
         for batch in batches:
             for page_id, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 made = made or Bundle()
-                made.add(page_id, record(page_id, url, payload, digest, refers_to))
+                made.add(page_id, record(page_id, url, payload, base32(digest), refers_to))
                 if made.size + made.held >= BUNDLE_BYTES:
                     yield out(made)
                     made = None
@@ -184,28 +183,44 @@ def fetch(data: bytes, frame_no: int, offset: int) -> tuple[dict[str, str], byte
     return fields, payload
 
 
-def read(bundles: DataFrame) -> DataFrame:
-    """One row per record, from the archives alone: page_id, url, payload_bytes, payload_digest, record_type, refers_to. Digests of responses are checked."""
+def indexed(data: bytes, entries: list[dict]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header and payload of each index entry of a bundle, each frame decompressed once. Raises if an entry isn't where and what the index says, or if records of a frame have none."""
+    table, entries = seek_table(data), sorted(entries, key=lambda x: (x["frame"], x["offset"]))
+    for number, of_frame in itertools.groupby(entries, key=lambda x: x["frame"]):
+        plain, upto = frame(data, table[number]), 0
+        for x in of_frame:
+            _, fields, payload = next(parsed(plain, x["offset"]))
+            if x["offset"] != upto or number_of(fields["WARC-Record-ID"]) != x["id"]:
+                raise ValueError(f"the index has {x}, the frame {fields['WARC-Record-ID']} after {upto}")
+            upto += x["length"]
+            yield fields, payload
+        if upto != len(plain):
+            raise ValueError(f"frame {number} goes on after its last indexed record")
+    if {x["frame"] for x in entries} != set(range(len(table))):
+        raise ValueError("a frame has no index entry")
+
+
+def number_of(urn: str | None) -> int | None:
+    return None if urn is None or urn.endswith(":none>") else int(urn[len("<urn:page:") : -1])
 
-    def number(urn: str | None) -> int | None:
-        return None if urn is None or urn.endswith(":none>") else int(urn[len("<urn:page:") : -1])
+
+def read(bundles: DataFrame) -> DataFrame:
+    """One row per record, fetched from the archives through the index: page_id, url, payload_bytes, payload_digest, record_type, refers_to. Digests of responses are checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column(0):
-                data = data.as_py()
+            for data, entries in zip(batch.column(0), batch.column(1), strict=True):
                 rows = []
-                for at in seek_table(data):
-                    for _, fields, payload in parsed(frame(data, at)):
-                        digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                        revisit = fields["WARC-Type"] == "revisit"
-                        if not revisit and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                            raise ValueError(f"{fields['WARC-Record-ID']}: the payload's digest differs")
-                        rows.append((number(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), int(fields["X-Payload-Length"]) if revisit else len(payload), digest, fields["WARC-Type"], number(fields.get("WARC-Refers-To"))))
+                for fields, payload in indexed(data.as_py(), entries.as_py()):
+                    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                    revisit = fields["WARC-Type"] == "revisit"
+                    if not revisit and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+                        raise ValueError(f"{fields['WARC-Record-ID']}: the payload's digest differs")
+                    rows.append((number_of(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), int(fields["X-Payload-Length"]) if revisit else len(payload), digest, fields["WARC-Type"], number_of(fields.get("WARC-Refers-To"))))
                 kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    return mapped(bundles.select("data"), run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return mapped(bundles.select("data", "records"), run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def export(bundles: DataFrame, folder: str) -> DataFrame:
