@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,14 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.select("*", zero).join(right.select("*", zero), [key, "_zero"], how).drop("_zero")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """df, stored, with a number of the row in a column whose name df doesn't have; and that name."""
+    at = "_row"
+    while at in map(str.lower, df.columns):
+        at = f"_{at}"
+    return stored(df.withColumn(at, F.monotonically_increasing_id()), "numbered"), at
+
+
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     bounded_batches(df.sparkSession)
     ship(df.sparkSession)
@@ -82,6 +91,35 @@ def starts_of(counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def sums(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of the flags of each group; starts has the end of the last group too."""
+    out = np.zeros(len(starts) - 1, np.int64)
+    full = np.flatnonzero(np.diff(starts))
+    if len(full):
+        out[full] = np.add.reduceat(flags, starts[:-1][full], dtype=np.int64)
+    return out
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words ``[^\\x20\\x09-\\x0D]+`` of some texts, for each place in the texts which of them is there, and the texts' first places. Null: no words."""
+    parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+    flat = parts.flatten().dictionary_encode()
+    at = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = parts.offsets.to_numpy().astype(np.int64)
+    there = np.asarray(pc.binary_length(flat.dictionary), np.int64)[at] > 0  # blanks at a text's ends leave empty strings
+    return flat.dictionary, at[there], starts_of(sums(there, starts - starts[0]))
+
+
+def pieces(texts: pa.Array, together: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive parts of a batch's texts of about so many bytes, with the number of the first; a longer text comes alone."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, low + int(np.searchsorted(np.cumsum(sizes[low : low + 4096]), together, "right")))
+        yield low, texts.slice(low, high - low)
+        low = high
+
+
 def word_list(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8; bytes.split() cuts at just these six characters."""
     return utf8(text).split()

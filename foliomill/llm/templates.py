@@ -12,14 +12,16 @@
    stands for two of the document.  A re-parameterised question does; a form that
    only looks alike does not.  Where a value clashes, only the windows that hold it
    go, and of those none whose slots are the item's own.
-4. A document is contaminated by an item if consistent windows hold a share of
-   ``least_share`` of the item's windows (of all, or of those with placeholders, whichever
-   is more), or ``enough`` of them (a passage of 20 tokens of a long item).
+4. Alignments of an item in a document go together while the next is at most ``drift``
+   tokens off (words put in or left out).  A document is contaminated by an item if the consistent
+   windows of one such run hold a share of ``least_share`` of the item's windows (of all, or of
+   those with placeholders, whichever is more), or ``enough`` of them (a passage of 20
+   tokens of a long item).  Windows scattered over the document don't add up.
 
 A bitmap of fixed size over the hashes of the benchmark's windows keeps windows
 that can't match from leaving the scan; it is exact, as what passes is joined.  Null
 or empty texts and items: no match.  Null ids: no match.  Rows
-that share an id count as one document or item.
+that share an id count as one document or item.  Other columns don't matter.
 """
 
 from __future__ import annotations
@@ -30,12 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import Remembered, mapped, stored, utf8, word_windows
+from foliomill.llm.common import Remembered, mapped, pieces, split_words, stored, word_windows
 
-WIDTH, LEAST_LITERAL, LEAST_SHARE, ENOUGH = 8, 4, 0.5, 13
+WIDTH, LEAST_LITERAL, LEAST_SHARE, ENOUGH, DRIFT = 8, 4, 0.5, 13, 4
 
 #: Units and number words (fixed values).
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years percent % $ € £ usd eur dollar dollars euro euros cent cents degree degrees mile miles meter meters metre metres kilometer kilometers liter liters gram grams kilogram kilograms pound pounds watt watts volt volts km/h mph".split())
@@ -53,46 +55,42 @@ _OUTER = ".,;:!?\"'()[]{}<>«»“”‘’…"
 _MARK = [np.uint64(xxhash.xxh64_intdigest(f"\0{k}")) for k in range(4)]
 
 
-def _token(raw: bytes) -> tuple[int, int, bool, bool, int]:
-    """Hash of the literal, class, whether it starts with a capital, whether it ends a sentence, hash of the value."""
-    text = raw.decode("utf-8", "replace")
+def _token(text: str) -> tuple[int, int, bool, bool]:
+    """Hash of the value, class, whether it starts with a capital, whether it ends a sentence."""
     bare = text.strip(_OUTER)
     low = bare.lower()
-    value = xxhash.xxh64_intdigest(low)
     m = _NUMBER.match(low)
     if (m and (not m[1] or m[1] in UNITS)) or low in NUMBERS:
         kind = NUM
     else:
         kind = UNIT if low in UNITS and bare else LITERAL
     capital = bare[:1].isupper() and kind == LITERAL and len(bare) > 1 and not bare.isupper()
-    return value, kind, capital, text[-1:] in ".!?:;" or text[-2:-1] in ".!?", value
-
-
-class _Tokens:
-    def __init__(self) -> None:
-        self.known = Remembered(_token)
-
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Canonical hash, class and value hash of each token."""
-        raw = utf8(text)
-        words = raw.split()
-        if not words:
-            none = np.zeros(0, np.uint64)
-            return none, none.astype(np.int8), none
-        columns = list(zip(*map(self.known.__getitem__, words), strict=True))
-        literal = np.array(columns[0], np.uint64)
-        kind = np.array(columns[1], np.int8)
-        inside = np.empty(len(words), bool)
-        inside[0] = False
-        inside[1:] = ~np.array(columns[3][:-1], bool)
-        kind[np.array(columns[2], bool) & inside] = NAME
-        value = literal.copy()
-        for k in (NUM, UNIT, NAME):
-            literal[kind == k] = _MARK[k]
-        return literal, kind, value
+    return xxhash.xxh64_intdigest(low), kind, capital, text[-1:] in ".!?:;" or text[-2:-1] in ".!?"
+
 
+class Tokens:
+    """Of all tokens of some texts, one after another: hash of the canonical form, class, hash of the value; and the texts' first tokens."""
 
-_tokens = _Tokens()
+    known = Remembered(_token)
+
+    def __init__(self, texts: pa.Array):
+        words, at, self.starts = split_words(texts)
+        value, kind, capital, ends = zip(*map(self.known.__getitem__, words.to_pylist()), strict=True) if len(words) else ((), (), (), ())
+        self.value, self.kind = np.array(value, np.uint64)[at], np.array(kind, np.int8)[at]
+        inside = np.zeros(len(at), bool)
+        inside[1:] = ~np.array(ends, bool)[at[:-1]]
+        inside[self.starts[:-1][self.starts[:-1] < len(at)]] = False
+        self.kind[np.array(capital, bool)[at] & inside] = NAME
+        self.canonical = self.value.copy()
+        for k in (NUM, UNIT, NAME):
+            self.canonical[self.kind == k] = _MARK[k]
+        self.text = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+
+    def windows(self, width: int, least_literal: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each place whether a window of that width starts there and doesn't leave its text, and whether it has tokens enough that are no placeholder."""
+        n = max(0, len(self.kind) - width + 1)
+        literals = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
+        return self.text[:n] == self.text[width - 1 :], literals[width:] - literals[:-width] >= min(least_literal, width)
 
 
 _ROWS = "id long, pos int, hash long, slots array<bigint>, plain boolean"
@@ -101,13 +99,16 @@ _ROWS = "id long, pos int, hash long, slots array<bigint>, plain boolean"
 class _Windows:
     """Columns of windows: slots are the value hashes of the placeholders in order; a plain window has none."""
 
-    def __init__(self) -> None:
+    def __init__(self, ids: list[int], tokens: Tokens) -> None:
+        self.ids, self.tokens = ids, tokens
         self.columns: tuple[list, ...] = ([], [], [], [], [])
 
-    def add(self, key: int, at: np.ndarray, hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, width: int, plain: bool) -> None:
-        for p, h in zip(at.tolist(), hashes[at].view(np.int64).tolist(), strict=True):
-            slots = [] if plain else value[p : p + width][kind[p : p + width] != LITERAL].view(np.int64).tolist()
-            for column, x in zip(self.columns, (key, p, h, slots, plain), strict=True):
+    def add(self, at: np.ndarray, hashes: np.ndarray, width: int, plain: bool) -> None:
+        t = self.tokens
+        of = t.text[at]
+        for p, k, pos, h in zip(at.tolist(), of.tolist(), (at - t.starts[of]).tolist(), hashes[at].view(np.int64).tolist(), strict=True):
+            slots = [] if plain else t.value[p : p + width][t.kind[p : p + width] != LITERAL].view(np.int64).tolist()
+            for column, x in zip(self.columns, (self.ids[k], pos, h, slots, plain), strict=True):
                 column.append(x)
 
     def batch(self) -> pa.RecordBatch:
@@ -115,27 +116,21 @@ class _Windows:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(self.columns, kinds, strict=True)], ["id", "pos", "hash", "slots", "plain"])
 
 
-def enough_literals(kind: np.ndarray, width: int, least_literal: int) -> np.ndarray:
-    """For each window whether it has tokens enough that are no placeholder."""
-    words = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-    return words[width:] - words[:-width] >= min(least_literal, width)
-
-
 def item_windows(items: DataFrame, id_col: str, text_col: str, width: int, least_literal: int) -> DataFrame:
     """Rows (id, pos, hash, slots, plain) of all windows; a whole item of at most ``width`` tokens may have both kinds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = _Windows()
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                literal, kind, value = _tokens(text)
-                if not len(literal):
-                    continue
-                w = min(width, len(literal))
-                filled = enough_literals(kind, w, least_literal)
-                rows.add(item, np.flatnonzero(filled), word_windows(literal, w, _BASE), kind, value, w, False)
-                rows.add(item, np.flatnonzero(~filled | (len(literal) == w)), word_windows(value, w, _PLAIN), kind, value, w, True)
-            yield rows.batch()
+            for low, texts in pieces(batch.column(1)):
+                tokens = Tokens(texts)
+                rows, sizes = _Windows(batch.column(0).to_pylist()[low : low + len(texts)], tokens), np.diff(tokens.starts)
+                for w in np.unique(np.minimum(sizes[sizes > 0], width)).tolist():
+                    whole, filled = tokens.windows(w, least_literal)
+                    here = whole & (np.minimum(sizes, width)[tokens.text[: len(whole)]] == w)
+                    short = sizes[tokens.text[: len(whole)]] == w
+                    rows.add(np.flatnonzero(here & filled), word_windows(tokens.canonical, w, _BASE), w, False)
+                    rows.add(np.flatnonzero(here & (~filled | short)), word_windows(tokens.value, w, _PLAIN), w, True)
+                yield rows.batch()
 
     src = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return mapped(src, run, _ROWS)
@@ -163,26 +158,27 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, held: np.ndarr
             return (bitmap[top >> np.uint64(5)] >> (top & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
 
         for batch in batches:
-            rows = _Windows()
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                literal, kind, value = _tokens(text)
+            for low, texts in pieces(batch.column(1)):
+                tokens = Tokens(texts)
+                rows = _Windows(batch.column(0).slice(low, len(texts)).to_pylist(), tokens)
                 for w in widths:
-                    if len(literal) < w:
+                    inside, filled = tokens.windows(w, least_literal)
+                    if not inside.any():
                         continue
-                    filled = enough_literals(kind, w, least_literal)
-                    hashes = word_windows(literal, w, _BASE)
-                    rows.add(doc, np.flatnonzero(held_at(hashes) & filled), hashes, kind, value, w, False)
-                    if w in whole or not filled.all():
-                        hashes = word_windows(value, w, _PLAIN)
-                        rows.add(doc, np.flatnonzero(held_at(hashes) & (True if w in whole else ~filled)), hashes, kind, value, w, True)
-            yield rows.batch()
+                    hashes = word_windows(tokens.canonical, w, _BASE)
+                    rows.add(np.flatnonzero(held_at(hashes) & inside & filled), hashes, w, False)
+                    plain = inside if w in whole else inside & ~filled
+                    if plain.any():
+                        hashes = word_windows(tokens.value, w, _PLAIN)
+                        rows.add(np.flatnonzero(held_at(hashes) & plain), hashes, w, True)
+                yield rows.batch()
 
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return mapped(src, run, _ROWS)
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least_literal: int = LEAST_LITERAL, least_share: float = LEAST_SHARE, enough: int = ENOUGH) -> DataFrame:
-    """Rows (id, item, n_windows, item_windows, share, exact): documents contaminated by items. exact: all windows found have the item's own values."""
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least_literal: int = LEAST_LITERAL, least_share: float = LEAST_SHARE, enough: int = ENOUGH, drift: int = DRIFT) -> DataFrame:
+    """Rows (id, item, n_windows, item_windows, share, exact): documents contaminated by items, with the run of alignments that holds the largest share. exact: all its windows have the item's own values."""
     bench = stored(item_windows(items, item_col, item_text_col, width, least_literal), "items")
     each_size = bench.groupBy("id", "pos").agg(F.max((~F.col("plain")).cast("int")).alias("template"))
     sizes = each_size.groupBy(F.col("id").alias("item")).agg(F.count(F.lit(1)).alias("all"), F.sum("template").alias("templates"))
@@ -196,9 +192,13 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     clash = filled.groupBy("id", "item", "shift", "was").agg(F.min("is").alias("low"), F.max("is").alias("high")).where("low != high").groupBy("id", "item", "shift").agg(F.collect_list("was").alias("clashing"))
     own = F.col("slots") == F.col("item_slots")
     good = hits.join(clash, ["id", "item", "shift"], "left").where(own | F.col("clashing").isNull() | ~F.arrays_overlap("item_slots", "clashing"))
-    each = good.groupBy("id", "item", "item_pos").agg(F.max(own.cast("int")).alias("exact"), F.max((~F.col("plain")).cast("int")).alias("template"), F.max(F.when(~F.col("plain"), own.cast("int"))).alias("template_exact"))
-    matched = each.groupBy("id", "item").agg(F.count(F.lit(1)).alias("n"), F.sum("template").alias("n_templates"), F.min("exact").alias("exact"), F.min("template_exact").alias("template_exact"))
+    each = good.groupBy("id", "item", "shift", "item_pos").agg(F.max(own.cast("int")).alias("exact"), F.max((~F.col("plain")).cast("int")).alias("template"), F.max(F.when(~F.col("plain"), own.cast("int"))).alias("template_exact"))
+    by_shift = Window.partitionBy("id", "item").orderBy("shift")  # windows of one item in one document
+    apart = (F.col("shift") - F.lag("shift").over(by_shift) > drift).cast("int")
+    each = each.withColumn("apart", apart).withColumn("run", F.coalesce(F.sum("apart").over(by_shift.rangeBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    each = each.groupBy("id", "item", "run", "item_pos").agg(*(F.max(c).alias(c) for c in ("exact", "template", "template_exact")))
+    matched = each.groupBy("id", "item", "run").agg(F.count(F.lit(1)).alias("n"), F.sum("template").alias("n_templates"), F.min("exact").alias("exact"), F.min("template_exact").alias("template_exact"))
     side = lambda n, of, exact: F.struct((F.col(n) / F.nullif(F.col(of), F.lit(0))).alias("share"), F.col(n).alias("n_windows"), F.col(of).alias("item_windows"), F.col(exact).alias("exact"))
     out = matched.join(sizes, "item").withColumn("best", F.greatest(side("n", "all", "exact"), side("n_templates", "templates", "template_exact")))
-    out = out.where((F.col("best.share") >= least_share) | (F.col("n") >= enough)).select("id", "item", "best.*")
+    out = out.where((F.col("best.share") >= least_share) | (F.col("n") >= enough)).groupBy("id", "item").agg(F.max("best").alias("best")).select("id", "item", "best.*")
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows", "share", (F.col("exact") == 1).alias("exact"))

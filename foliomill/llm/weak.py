@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import dropped, mapped, mixed, starts_of, stored
+from foliomill.llm.common import dropped, mapped, mixed, pieces, split_words, stored, sums
 
 FIT_ROWS, FIT_PLACES, DIMENSIONS = 8_000, 8_000_000, 1 << 18
 LEAST_Z, PRIOR, TRUST = 4.0, 0.05, 0.95
@@ -71,15 +71,6 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
-def _sums(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sum of the flags of each group; starts has the end of the last group too."""
-    out = np.zeros(len(starts) - 1, np.int64)
-    full = np.flatnonzero(np.diff(starts))
-    if len(full):
-        out[full] = np.add.reduceat(flags, starts[:-1][full], dtype=np.int64)
-    return out
-
-
 def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all strings, and where each starts."""
     at = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
@@ -104,13 +95,7 @@ class Words:
 
     def __init__(self, texts: pa.Array):
         self.texts = pc.fill_null(texts.cast(pa.string()), "")
-        parts = pc.ascii_split_whitespace(self.texts)
-        flat = parts.flatten().dictionary_encode()
-        self.words, at = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        starts = parts.offsets.to_numpy().astype(np.int64)
-        there = np.asarray(pc.binary_length(self.words), np.int64)[at] > 0  # blanks at a text's ends leave empty strings
-        self.starts = starts_of(_sums(there, starts - starts[0]))
-        self.at = at[there]
+        self.words, self.at, self.starts = split_words(texts)
         self.sizes = np.diff(self.starts)
         self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.low = pc.utf8_trim(pc.utf8_lower(self.words), characters=_OUTER)
@@ -119,7 +104,7 @@ class Words:
 
     def count(self, flags: np.ndarray) -> np.ndarray:
         """By text the number of places whose word has the flag."""
-        return _sums(flags[self.at], self.starts)
+        return sums(flags[self.at], self.starts)
 
     def among(self, names: frozenset[str]) -> np.ndarray:
         return np.asarray(pc.is_in(self.low, value_set=pa.array(sorted(names))), bool)
@@ -169,7 +154,7 @@ def votes(words: Words, mined: Mined = Mined()) -> tuple[np.ndarray, np.ndarray]
     n = words.sizes
     some = np.maximum(n, 1)
     data, at = _bytes_of(words.texts)
-    symbols = _sums(_SYMBOL[data], at) / np.maximum(_sums(_SOLID[data], at), 1)
+    symbols = sums(_SYMBOL[data], at) / np.maximum(sums(_SOLID[data], at), 1)
     upper = np.asarray(pc.utf8_is_upper(words.words), bool) & (np.asarray(pc.utf8_length(words.words), np.int64) > 3)
     plain = np.asarray(pc.match_substring_regex(words.words, r"^\p{L}+[.,;:!?]?$"), bool)
     ends = np.asarray(pc.match_substring_regex(words.words, r"[\p{L}\d][.!?][\"')\]]*$"), bool)
@@ -197,7 +182,7 @@ def votes(words: Words, mined: Mined = Mined()) -> tuple[np.ndarray, np.ndarray]
     spoken, insulting = words.among(SECOND)[words.at], named[words.at]
     for k in (1, 2, 3):
         near[k:] |= spoken[:-k] & insulting[k:] & (words.text[k:] == words.text[:-k])
-    toxic = [words.count(persons), words.count(contempt), words.count(filth), words.count(_disguised(words)), _sums(near | (insulting & upper[words.at]), words.starts)]
+    toxic = [words.count(persons), words.count(contempt), words.count(filth), words.count(_disguised(words)), sums(near | (insulting & upper[words.at]), words.starts)]
     for half in mined.halves:
         toxic.append(sum(np.bincount(words.repeated(k, half)[0], minlength=len(n)) for k in MINED_LENGTHS))
     return np.stack(quality, 1).astype(np.int8), np.stack([good(x > 0) for x in toxic], 1).astype(np.int8)
@@ -280,10 +265,10 @@ def features(words: Words, fixed: np.ndarray, wanted: np.ndarray | None = None)
 def train(rows: list[np.ndarray], target: np.ndarray, rounds: int = 300, rate: float = 0.3, decay: float = 1e-3) -> np.ndarray:
     """Weights (the last is the bias) of a logistic model on soft labels, by full-batch adaptive gradients; classes weigh alike."""
     index = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), list(map(len, rows)))
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), list(map(len, rows)))
     p = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
     n = np.bincount(index, minlength=DIMENSIONS)
-    z = (np.bincount(index, target[row], DIMENSIONS) - n * p) / np.sqrt(n * p * (1 - p) + 1e-9)
+    z = (np.bincount(index, target.astype(np.float32)[row], DIMENSIONS) - n * p) / np.sqrt(n * p * (1 - p) + 1e-9)
     chosen = (np.abs(z) >= LEAST_Z) & (n >= 5)
     keep = chosen[index]
     index, row = index[keep], row[keep]
@@ -330,20 +315,6 @@ class Model:
     toxic_weights: np.ndarray
 
 
-#: Texts that are taken apart at once, in bytes of a batch's texts; a longer text comes alone.
-TOGETHER = 4 << 20
-
-
-def _pieces(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Consecutive parts of a batch's texts of about TOGETHER bytes, with the number of the first."""
-    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
-    low = 0
-    while low < len(texts):
-        high = max(low + 1, low + int(np.searchsorted(np.cumsum(sizes[low : low + 4096]), TOGETHER, "right")))
-        yield low, texts.slice(low, high - low)
-        low = high
-
-
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -353,7 +324,7 @@ def _patterns(docs: DataFrame, mined: Mined) -> dict[str, tuple[np.ndarray, np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, texts in _pieces(b.column(0)):
+            for _, texts in pieces(b.column(0)):
                 q, t = votes(Words(texts), mined)
                 yield pa.RecordBatch.from_arrays([pa.array(vote_keys(q)), pa.array(vote_keys(t))], ["quality", "toxic"])
 
@@ -391,7 +362,7 @@ def mine(docs: DataFrame, labels: DataFrame, fit_rows: int) -> Mined:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for low, texts in _pieces(b.column(0)):
+            for low, texts in pieces(b.column(0)):
                 words = Words(texts)
                 text, begin = (np.concatenate(x) for x in zip(*(words.repeated(k) for k in MINED_LENGTHS), strict=True))
                 of = lambda c: b.column(c).to_numpy(zero_copy_only=False)[low + text]
@@ -426,7 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for low, texts in _pieces(b.column(1)):
+            for low, texts in pieces(b.column(1)):
                 words = Words(texts)
                 q, t = votes(words, mined)
                 text, place = features(words, np.concatenate([q, t[:, : len(TOXIC)]], 1))
@@ -442,7 +413,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     dropped(sample)
     if not rows:
         return None
-    places = [np.frombuffer(r.places, np.int32).astype(np.int64) for r in rows]
+    places = [np.frombuffer(r.places, np.int32) for r in rows]
     weights = {c: train(places, models[c].posterior(np.array([_votes_of(r[c]) for r in rows], np.int64))) for c in ("quality", "toxic")}
     return Model(models["quality"], models["toxic"], mined, weights["quality"], weights["toxic"])
 
@@ -455,7 +426,7 @@ def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
         score = None
         for b in batches:
             score = score or Scorer(*sent.value)
-            for low, texts in _pieces(b.column(1)):
+            for low, texts in pieces(b.column(1)):
                 good, bad = score(texts)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(low, len(texts)), pa.array(good), pa.array(bad), pa.array(kept(good, bad))], ["id", "p_quality", "p_toxic", "kept"])
 
@@ -471,7 +442,7 @@ def filtered(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(*sent.value)
         for b in batches:
-            for low, texts in _pieces(b.column(b.schema.get_field_index(text_col))):
+            for low, texts in pieces(b.column(b.schema.get_field_index(text_col))):
                 yield b.slice(low, len(texts)).filter(pa.array(kept(*score(texts))))
 
     return mapped(docs, run, docs.schema)

@@ -76,6 +76,122 @@ def test_leaks_against_passage_search(spark):
     assert want <= {(r.doc_id, r.item_id) for r in templates.leaks(docs, items).collect()}
 
 
+def plain_tokens(text):
+    """(canonical, value) of each token, by the rules in words."""
+    out, after_end = [], True
+    for raw in (text or "").encode().split():
+        raw = raw.decode()
+        bare = raw.strip(".,;:!?\"'()[]{}<>«»“”‘’…")
+        low = bare.lower()
+        m = re.match(r"[$€£]?[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?([^\d\s]{0,12})$", low)
+        if (m and (not m[1] or m[1] in templates.UNITS)) or low in templates.NUMBERS:
+            out.append(("<NUM>", low))
+        elif low and low in templates.UNITS:
+            out.append(("<UNIT>", low))
+        elif len(bare) > 1 and bare[0].isupper() and not bare.isupper() and not after_end:
+            out.append(("<NAME>", low))
+        else:
+            out.append((low, low))
+        after_end = raw[-1:] in ".!?:;" or raw[-2:-1] in tuple(".!?")
+    return out
+
+
+def plain_leaks(docs, items):
+    """All windows of all documents against all windows of all items."""
+    held = lambda c: c in ("<NUM>", "<UNIT>", "<NAME>")
+
+    def windows(tokens, w, short):
+        for p in range(len(tokens) - w + 1):
+            part = tokens[p : p + w]
+            filled = sum(not held(c) for c, _ in part) >= min(4, w)
+            if filled:
+                yield p, False, tuple(c for c, _ in part), [v for c, v in part if held(c)]
+            if not filled or short:
+                yield p, True, tuple(v for _, v in part), []
+
+    item_tokens = {i: plain_tokens(t) for i, t in items.items()}
+    short = {len(t) for t in item_tokens.values() if 1 <= len(t) <= 8}
+    found = {}
+    for d, text in docs.items():
+        tokens = plain_tokens(text)
+        by = collections.defaultdict(list)
+        for w in {8, *short}:
+            for p, plain, key, slots in windows(tokens, w, w in short):
+                by[plain, key].append((p, slots))
+        for i, t in item_tokens.items():
+            if not t:
+                continue
+            w = min(8, len(t))
+            own = list(windows(t, w, len(t) == w))
+            hits = [(at, p - at, slots, mine, plain) for at, plain, key, mine in own for p, slots in by.get((plain, key), ())]
+            filling = collections.defaultdict(set)
+            for _, shift, slots, mine, _ in hits:
+                for a, b in zip(mine, slots, strict=True):
+                    filling[shift, a].add(b)
+            good = [h for h in hits if h[2] == h[3] or all(len(filling[h[1], a]) == 1 for a in h[3])]
+            runs, last = [], None
+            for shift in sorted({h[1] for h in good}):
+                if last is None or shift - last > 4:
+                    runs.append(set())
+                runs[-1].add(shift)
+                last = shift
+            best = None
+            for run in runs:
+                windows_of = collections.defaultdict(list)
+                for at, shift, slots, mine, plain in good:
+                    if shift in run:
+                        windows_of[at].append((slots == mine, plain))
+                sides = []
+                for only_templates in (False, True):
+                    of = len({a for a, plain, _, _ in own if not (only_templates and plain)})
+                    got = {a: [x for x, plain in m if not (only_templates and plain)] for a, m in windows_of.items()}
+                    got = {a: any(m) for a, m in got.items() if m}
+                    if of and got:
+                        sides.append((len(got) / of, len(got), of, all(got.values())))
+                side = max(sides)
+                if side[0] >= 0.5 or len(windows_of) >= 13:
+                    best = max(best or side, side)
+            if best:
+                found[d, i] = (best[1], best[2], best[0], best[3])
+    return found
+
+
+def test_leaks_against_plain_python(spark):
+    """Two-sided, on documents as they are, with changed numbers and names, words put in, windows strewn about, and short items."""
+    r = random.Random(12)
+    items = {x.item_id: x.text for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    items |= {1000: "What is 17 * 24?", 1001: "12 7 5 3 9 11 15 22 31 40 is", 1002: "How many days in March?", 1003: "If John Smith has 12 apples and gives 5 apples to Mary then how many of the 12 apples does John Smith keep after 5 days?"}
+    docs = {x.doc_id: x.text for x in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for k in range(200):
+        words = items[r.choice(list(items))].split()
+        change = r.randrange(6)
+        if change == 1:
+            words = [str(r.randrange(9)) if any(c.isdigit() for c in w) else w for w in words]
+        elif change == 2:
+            words.insert(r.randrange(len(words) + 1), "really")
+        elif change == 3:
+            low = r.randrange(len(words))
+            words = words[low : low + r.choice((8, 12, 25))]
+        elif change == 4:
+            words = [x for p in range(0, len(words), 8) for x in (*words[p : p + 8], *(f"q{r.randrange(99)}" for _ in range(9)))]
+        elif change == 5:
+            words = [r.choice(("Ann", "Bob", "Cy")) if w[:1].isupper() else w for w in words]
+        docs[10_000 + k] = " ".join(["Some", "words.", *words, "and", "more", *words[: r.choice((0, 9, 99))]])
+    frame = lambda x, kind: spark.createDataFrame(list(x.items()), kind)
+    found = {(x.doc_id, x.item_id): (x.n_windows, x.item_windows, x.share, x.exact) for x in templates.leaks(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()}
+    assert found == plain_leaks(docs, items)
+    assert len(found) > 100 and len({x[3] for x in found.values()}) == 2
+
+
+def test_windows_strewn_about_are_no_leak(spark):
+    words = [f"w{k}" for k in range(26)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    strewn = " ".join(" ".join((*words[p : p + 8], *(f"x{p}{k}" for k in range(12)))) for p in range(0, 19, 2))
+    close = " ".join((*words[:13], "so", "to", "say", *words[13:]))
+    docs = spark.createDataFrame([(1, strewn), (2, close), (None, " ".join(words))], "doc_id long, text string").withColumn("run", F.lit(1)).withColumn("shift", F.lit("x"))
+    assert [(r.doc_id, r.n_windows) for r in templates.leaks(docs, items).collect()] == [(2, 12)]
+
+
 def test_leaks_of_nothing(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     assert templates.leaks(docs.limit(0), items).count() == 0
