@@ -110,6 +110,25 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return flat.dictionary, at[there], starts_of(sums(there, starts - starts[0]))
 
 
+def bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all strings, and where each starts."""
+    at = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+    data = strings.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))[at[0] : at[-1]], at - at[0]
+
+
+def hashes(strings: pa.Array, seed: int = 0) -> np.ndarray:
+    """64-bit polynomial hash of each string, finalised."""
+    data, at = bytes_of(strings)
+    size = np.diff(at)
+    powers = np.full(int(size.max(initial=0)), 0x9E3779B97F4A7C15, np.uint64)
+    powers[:1] = 1
+    terms = (data.astype(np.uint64) + np.uint64(1)) * np.cumprod(powers, dtype=np.uint64)[np.arange(len(data)) - np.repeat(at[:-1], size)]
+    upto = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(terms, out=upto[1:])
+    return mixed(upto[at[1:]] - upto[at[:-1]] + size.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(seed * 2 + 1))
+
+
 def pieces(texts: pa.Array, together: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive parts of a batch's texts of about so many bytes, with the number of the first; a longer text comes alone."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)

@@ -31,11 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import Remembered, mapped, pieces, split_words, stored, word_windows
+from foliomill.llm.common import hashes, mapped, pieces, split_words, stored, word_windows
 
 WIDTH, LEAST_LITERAL, LEAST_SHARE, ENOUGH, DRIFT = 8, 4, 0.5, 13, 4
 
@@ -55,32 +56,26 @@ _OUTER = ".,;:!?\"'()[]{}<>«»“”‘’…"
 _MARK = [np.uint64(xxhash.xxh64_intdigest(f"\0{k}")) for k in range(4)]
 
 
-def _token(text: str) -> tuple[int, int, bool, bool]:
-    """Hash of the value, class, whether it starts with a capital, whether it ends a sentence."""
-    bare = text.strip(_OUTER)
-    low = bare.lower()
-    m = _NUMBER.match(low)
-    if (m and (not m[1] or m[1] in UNITS)) or low in NUMBERS:
-        kind = NUM
-    else:
-        kind = UNIT if low in UNITS and bare else LITERAL
-    capital = bare[:1].isupper() and kind == LITERAL and len(bare) > 1 and not bare.isupper()
-    return xxhash.xxh64_intdigest(low), kind, capital, text[-1:] in ".!?:;" or text[-2:-1] in ".!?"
-
-
 class Tokens:
     """Of all tokens of some texts, one after another: hash of the canonical form, class, hash of the value; and the texts' first tokens."""
 
-    known = Remembered(_token)
-
     def __init__(self, texts: pa.Array):
         words, at, self.starts = split_words(texts)
-        value, kind, capital, ends = zip(*map(self.known.__getitem__, words.to_pylist()), strict=True) if len(words) else ((), (), (), ())
-        self.value, self.kind = np.array(value, np.uint64)[at], np.array(kind, np.int8)[at]
+        bare = pc.utf8_trim(words, characters=_OUTER)
+        low = pc.utf8_lower(bare)
+        flags = lambda found: np.asarray(found, bool)
+        kind = np.where(flags(pc.is_in(low, value_set=pa.array(sorted(UNITS)))), UNIT, LITERAL).astype(np.int8)
+        kind[flags(pc.is_in(low, value_set=pa.array(sorted(NUMBERS))))] = NUM
+        for k in np.flatnonzero(flags(pc.match_substring_regex(low, r"\p{Nd}"))).tolist():
+            if (m := _NUMBER.match(low[k].as_py())) and (not m[1] or m[1] in UNITS):
+                kind[k] = NUM
+        capital = flags(pc.utf8_is_upper(pc.utf8_slice_codeunits(bare, 0, 1))) & ~flags(pc.utf8_is_upper(bare)) & (kind == LITERAL) & (np.asarray(pc.utf8_length(bare), np.int64) > 1)
+        ends = flags(pc.match_substring_regex(words, r"(?s)[.!?:;]$|[.!?].$"))
+        self.value, self.kind = hashes(low)[at], kind[at]
         inside = np.zeros(len(at), bool)
-        inside[1:] = ~np.array(ends, bool)[at[:-1]]
+        inside[1:] = ~ends[at[:-1]]
         inside[self.starts[:-1][self.starts[:-1] < len(at)]] = False
-        self.kind[np.array(capital, bool)[at] & inside] = NAME
+        self.kind[capital[at] & inside] = NAME
         self.canonical = self.value.copy()
         for k in (NUM, UNIT, NAME):
             self.canonical[self.kind == k] = _MARK[k]

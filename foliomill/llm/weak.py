@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.common import dropped, mapped, mixed, pieces, split_words, stored, sums
+from foliomill.llm.common import bytes_of, dropped, hashes, mapped, mixed, pieces, split_words, stored, sums
 
 FIT_ROWS, FIT_PLACES, DIMENSIONS = 8_000, 8_000_000, 1 << 18
 LEAST_Z, PRIOR, TRUST = 4.0, 0.05, 0.95
@@ -71,25 +71,6 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
-def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all strings, and where each starts."""
-    at = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
-    data = strings.buffers()[2]
-    return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))[at[0] : at[-1]], at - at[0]
-
-
-def hashes(strings: pa.Array, seed: int = 0) -> np.ndarray:
-    """64-bit polynomial hash of each string, finalised."""
-    data, at = _bytes_of(strings)
-    size = np.diff(at)
-    powers = np.full(int(size.max(initial=0)), 0x9E3779B97F4A7C15, np.uint64)
-    powers[:1] = 1
-    terms = (data.astype(np.uint64) + np.uint64(1)) * np.cumprod(powers, dtype=np.uint64)[np.arange(len(data)) - np.repeat(at[:-1], size)]
-    upto = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(terms, out=upto[1:])
-    return mixed(upto[at[1:]] - upto[at[:-1]] + size.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(seed * 2 + 1))
-
-
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of some texts: distinct words, and for each place in the texts which of them is there."""
 
@@ -153,7 +134,7 @@ def votes(words: Words, mined: Mined = Mined()) -> tuple[np.ndarray, np.ndarray]
     """Matrices (text, labeller) of votes: of QUALITY (1: good), and of TOXIC and the mined lists (1: toxic)."""
     n = words.sizes
     some = np.maximum(n, 1)
-    data, at = _bytes_of(words.texts)
+    data, at = bytes_of(words.texts)
     symbols = sums(_SYMBOL[data], at) / np.maximum(sums(_SOLID[data], at), 1)
     upper = np.asarray(pc.utf8_is_upper(words.words), bool) & (np.asarray(pc.utf8_length(words.words), np.int64) > 3)
     plain = np.asarray(pc.match_substring_regex(words.words, r"^\p{L}+[.,;:!?]?$"), bool)
