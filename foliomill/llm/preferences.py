@@ -8,7 +8,10 @@ character spans to learn from: the texts and closing marks of assistant turns.
 Turns are ordered by turn number, then role and text; turns with a null number
 come first.  Null role: "unknown"; null text: empty.  A pair without a second
 side, or with equal sides, has no completion to learn a preference from; its
-status says so.  Conversations without id make no pair.
+status says so.  Conversations without id make no pair.  Repeated rows of a turn
+are turns of their own.  No turns: no pairs.  Other columns don't matter.  A
+conversation is one row of the result and is put together in one task; all else
+grows with it alone.
 """
 
 from __future__ import annotations
@@ -68,12 +71,12 @@ def formatted(pairs: DataFrame) -> DataFrame:
 
 
 def answer_pairs(turns: DataFrame, **columns: str) -> DataFrame:
-    """Pairs from one table of conversations: chosen is a conversation, rejected the same with its last assistant turn
-    replaced by that of its neighbour (the id that differs in the lowest bit), null where either is missing."""
+    """Pairs from one table of conversations: chosen is a conversation, rejected the same with the text of its last assistant turn
+    replaced by that of its neighbour's (the id that differs in the lowest bit), null where either is missing. Turns after it stay on both sides."""
     all_of = conversations(turns, **columns)
-    last = F.element_at(F.filter("turns", lambda t: t["role"] == "assistant"), -1)
-    x = all_of.withColumn("answer", F.when(F.exists("turns", lambda t: t["role"] == "assistant"), last))
-    other = x.where("answer is not null").select(F.col("id").bitwiseXOR(F.lit(1)).alias("id"), F.col("answer.text").alias("other"))
+    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i)))
+    x = all_of.withColumn("last", last)
+    other = x.where("last is not null").select(F.col("id").bitwiseXOR(F.lit(1)).alias("id"), F.get("turns", "last")["text"].alias("other"))
     x = x.join(other, "id", "left")
-    replaced = F.concat(F.filter("turns", lambda t: t < F.col("answer")), F.array(F.struct(F.col("answer.turn").alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))))
-    return x.select("id", F.col("turns").alias("chosen"), F.when(F.col("answer").isNotNull() & F.col("other").isNotNull(), replaced).alias("rejected"))
+    replaced = F.transform("turns", lambda t, i: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.when(i == F.col("last"), F.col("other")).otherwise(t["text"]).alias("text")))
+    return x.select("id", F.col("turns").alias("chosen"), F.when(F.col("last").isNotNull() & F.col("other").isNotNull(), replaced).alias("rejected"))

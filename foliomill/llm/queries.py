@@ -120,11 +120,10 @@ _OP7 = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 a AS (SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id),
 p AS (SELECT c.conv_id, a.last_turn, b.answer AS other, a.answer FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN a USING (conv_id) LEFT JOIN a b ON b.conv_id = xor(c.conv_id, 1::BIGINT)),
-s AS (SELECT conv_id, CASE WHEN last_turn IS NULL OR other IS NULL THEN 'no rejected' WHEN n_after = 0 AND answer = other THEN 'equal' ELSE 'pair' END AS status, last_turn, other,
-  CASE WHEN last_turn IS NULL OR other IS NULL THEN -9223372036854775808 WHEN answer = other THEN last_turn + 1 ELSE last_turn END AS cut
-  FROM (SELECT p.*, (SELECT count(*) FROM t WHERE t.conv_id = p.conv_id AND t.turn > p.last_turn) AS n_after FROM p)),
+s AS (SELECT conv_id, CASE WHEN last_turn IS NULL OR other IS NULL THEN 'no rejected' WHEN answer = other THEN 'equal' ELSE 'pair' END AS status, last_turn, other,
+  CASE WHEN last_turn IS NULL OR other IS NULL THEN -9223372036854775808 WHEN answer = other THEN 9223372036854775807 ELSE last_turn END AS cut FROM p),
 r AS (SELECT s.conv_id, status, 'chosen' AS side, turn, role, text, turn < cut AS prompt FROM s JOIN t USING (conv_id)
-  UNION ALL SELECT s.conv_id, status, 'rejected', turn, role, CASE WHEN turn = last_turn THEN other ELSE text END, turn < cut FROM s JOIN t USING (conv_id) WHERE status <> 'no rejected' AND turn <= last_turn),
+  UNION ALL SELECT s.conv_id, status, 'rejected', turn, role, CASE WHEN turn = last_turn THEN other ELSE text END, turn < cut FROM s JOIN t USING (conv_id) WHERE status <> 'no rejected'),
 m AS (SELECT *, '<|im_start|>' || role || chr(10) AS head, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS line FROM r),
 o AS (SELECT *, coalesce(sum(length(line)) FILTER (NOT prompt) OVER (PARTITION BY conv_id, side ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM m),
 g AS (SELECT conv_id, status, count(*) FILTER (prompt AND side = 'chosen') AS prompt_turns,

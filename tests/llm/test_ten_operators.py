@@ -619,6 +619,17 @@ def test_pairs_of_conversations(spark):
     assert found[0].rejected == "<|im_start|>assistant\n<|im_end|>\n"
 
 
+def test_turns_after_the_answer_stay_on_both_sides(spark):
+    rows = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 2, "user", "thanks"), (1, 0, "assistant", "b"), (2, 0, "assistant", "c"), (2, 1, "user", "d"), (3, 0, "assistant", "c")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("last", F.lit(9)).withColumn("other", F.lit("x"))
+    found = {r.id: r for r in preferences.formatted(preferences.answer_pairs(turns)).collect()}
+    shown = lambda *x: "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for role, text in x)
+    assert (found[0].prompt, found[0].chosen, found[0].rejected) == (shown(("user", "q")), shown(("assistant", "a"), ("user", "thanks")), shown(("assistant", "b"), ("user", "thanks")))
+    assert [(x.start, x.end) for x in found[0].chosen_mask] == [(x.start, x.end) for x in found[0].rejected_mask]
+    assert (found[2].status, found[2].chosen, found[2].prompt_turns) == ("equal", "", 2)
+    assert preferences.formatted(preferences.answer_pairs(turns.limit(0))).count() == 0
+
+
 # --- 8
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -776,6 +787,26 @@ def test_the_mix_has_a_row_for_each_copy(spark):
     assert len(set(found)) == len(found) and {x[:3] for x in found} < set(rows)
 
 
+def test_empty_tables(spark):
+    none = documents(spark, ODD).limit(0)
+    assert pii.digest(none).count() == pii.scan(none).count() == pii.redact(none).count() == 0
+    assert tokens.token_counts(none, f"{TOKENIZERS}/{VOCABULARY}").count() == 0
+    assert repeats.quality(none).count() == secrets.verdicts(none).count() == mixing.mixed(none).count() == 0
+
+
+def test_a_hot_size_is_dealt_to_many_buckets(spark):
+    """A third of a source's rows have one size; reruns and other bucket sizes agree."""
+    rows = [(k, "w " * (7 if k % 3 == 0 else k % 90), "a" if k % 10 else "b") for k in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("class", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("n", F.lit(3))
+    found = sorted(mixing.sampled(df).collect(), key=str)
+    was, mixing.BUCKET_ROWS = mixing.BUCKET_ROWS, 2
+    try:
+        assert sorted(mixing.sampled(df.repartition(5)).collect(), key=str) == found
+    finally:
+        mixing.BUCKET_ROWS = was
+    assert mixing.mixed(df, number_col="times").columns == [*df.columns, "times"]
+
+
 def test_no_sources(spark):
     assert mixing.sampled(documents(spark, ODD).limit(0)).count() == 0
 

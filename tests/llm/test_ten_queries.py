@@ -5,6 +5,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from conftest import SF, same  # noqa: E402
@@ -78,3 +79,14 @@ def test_stages_judge_rows_with_null_and_repeated_ids(spark):
     assert sorted(map(tuple, (r for r in near.collect() if item not in r.text)), key=repr) == sorted([(5, one), (5, two), (None, "alone"), (3, "only"), (3, "other"), (4, "fine")], key=repr)
     clean = corpus_pipeline.decontamination_stage(spark, docs, SF)
     assert sorted(map(tuple, clean.collect()), key=repr) == sorted((r for r in rows if item not in r[1]), key=repr)
+
+
+def test_stages_of_nothing_and_of_other_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    wide = docs.limit(40).select("*", *(F.lit(k).alias(n) for k, n in enumerate(("_row", "id", "key", "row", "rank", "size", "n", "kept", "order", "class", "at", "shift"))))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        out = stage(spark, wide, SF)
+        assert out.count() > 0
+        if k + 1 < len(corpus_pipeline.STAGES):
+            assert out.columns == wide.columns
