@@ -1,7 +1,10 @@
 """Five stages over documents: quality, near-duplicates, benchmark leaks, personal data, mixing.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and
-returns a DataFrame; all but the last return the columns of documents.
+returns a DataFrame; all but the last return the columns of documents.  Columns beyond
+those of documents go through, whatever their names.  Null texts are empty: the first
+stage rejects them.  Null and repeated ids: rows are told apart by a stored number, so that each
+is judged as a row.  No rows: no rows.
 """
 
 from __future__ import annotations
@@ -10,36 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomill.llm import minhash, mixing, pii, templates, weak
-from foliomill.llm.common import stored, table
+from foliomill.llm.common import numbered, stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weak-label scorer rejects go."""
+    """Documents that the weak-label scorer rejects go. Repeated rows are judged alike."""
     return weak.filtered(docs, weak.fit(docs, table(spark, sf_dir, "labels")))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs, stored, with a number of the row in _row: ids may be null or repeated."""
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates stays, that with the smallest id; rows without id come last."""
-    in_order = docs.withColumn("_at", F.monotonically_increasing_id()).orderBy(F.col("doc_id").isNull(), "doc_id", "_at").drop("_at")
-    rows = numbered(in_order)  # in the ids' order, so that the smallest number of a group is its smallest id's
-    gone = minhash.near_duplicates(rows, "_row").where("not kept").select("_row").distinct()
-    return rows.join(gone.hint("shuffle_hash"), "_row", "left_anti").select(docs.columns)
+    """One row of each group of near-duplicates stays, that with the smallest id; rows without id come last. Blank texts have no duplicates."""
+    rows, at = numbered(docs.orderBy(F.col("doc_id").isNull(), "doc_id"))  # in the ids' order, so that the smallest number of a group is its smallest id's
+    gone = minhash.near_duplicates(rows, at).where("not kept").select(at).distinct()
+    return rows.join(gone.hint("shuffle_hash"), at, "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a benchmark item go, whatever their ids."""
-    rows = numbered(docs)
-    gone = templates.leaks(rows, table(spark, sf_dir, "benchmark"), "_row").select("_row").distinct()
-    return rows.join(gone.hint("shuffle_hash"), "_row", "left_anti").select(docs.columns)
+    rows, at = numbered(docs)
+    gone = templates.leaks(rows, table(spark, sf_dir, "benchmark"), at).select(at).distinct()
+    return rows.join(gone.hint("shuffle_hash"), at, "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind; n_chars follows."""
+    """Personal data is replaced by its kind in all rows; n_chars follows."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
