@@ -41,8 +41,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies and words that the mix takes of each document: one row per document, with copies = 0 too; mix() has the documents."""
-    return mixing.sampled(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    """The mix: rows of docs, each as often as systematic sampling takes it, numbered in copy_no; what isn't taken is gone."""
+    return mixing.mixed(docs)
 
 
 STAGES = [
@@ -66,9 +66,5 @@ def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as the mix takes them: their columns and copy_no, one row per copy."""
     return STAGES[-1][1](spark, kept(spark, sf_dir), sf_dir)
-
-
-def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline's documents as the mix takes them: one row per copy, numbered in copy_no."""
-    return mixing.mixed(kept(spark, sf_dir))
