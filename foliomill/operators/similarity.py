@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import binascii
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.functions.hashing import hamming, hamming_wide
-from foliomill.functions.text import jaccard, masked_digits, normalized, shingles, split_words, tokens
+from foliomill.functions.text import masked_digits, normalized, shingles, split_words, tokens
 from foliomill.operators import graph
 from foliomill.storage import stored
 from foliomill.workers import ship
@@ -32,27 +33,43 @@ def token_shingles(text: Column, k: int = 5) -> Column:
     return shingles(tokens(text), k, "\x1f")
 
 
+def hashed_sets(df: DataFrame, key: str, sets: Column) -> DataFrame:
+    """(id, n, s, digest): sets of strings as sorted distinct 64-bit hashes, and a digest of all of them; empty sets aside."""
+    x = df.select(F.col(key).alias("id"), F.array_sort(F.array_distinct(F.transform(sets, lambda e: F.xxhash64(e)))).alias("s")).where(F.size("s") > 0)
+    return x.select("id", F.size("s").alias("n"), "s", F.md5(F.array_join(F.transform("s", lambda h: h.cast("string")), ",")).alias("digest"))
+
+
 def similar_pairs(df: DataFrame, key: str, sets: Column, threshold: float) -> DataFrame:
     """All pairs (a, b, score), a < b, of Jaccard similarity of at least threshold: exact, by prefix filtering.
 
     Elements are ordered by how rare they are; two similar sets share one of the
-    first n - ceil(threshold * n) + 1 elements, so only those are joined. Equal
-    sets are put together first, and pairs are made of one of each.
+    first n - ceil(threshold * n) + 1 elements, from which on both still have the
+    overlap that they need, so only those are joined. Elements are 64-bit hashes. Equal
+    sets are found by digest first, and pairs are made of one of each.
     """
-    rows = df.select(F.col(key).alias("id"), sets.alias("s")).where(F.size("s") > 0)
-    classes = stored(rows.groupBy("s").agg(F.min("id").alias("rep")), "classes")  # read four times below
-    elements = classes.select("rep", F.size("s").alias("n"), F.explode("s").alias("e"))
+    return _similar_pairs(stored(hashed_sets(df, key, sets), "sets"), threshold)
+
+
+def _similar_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """rows: as of hashed_sets(), stored."""
+    reps = rows.groupBy("digest").agg(F.min("id").alias("id")).select("id")
+    classes = stored(rows.drop("digest").join(reps, "id", "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "rep"), "classes")  # read four times below
+    elements = classes.select("rep", "n", F.explode("s").alias("e"))
     frequency = elements.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ordered = elements.join(frequency, "e").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("x"))
     # elements that no other set has come first in the order; they never meet another
-    prefix = (F.col("n") - F.ceil(F.col("n") * threshold) + 1) - (F.col("n") - F.size("x"))
-    probes = ordered.where(prefix > 0).select("rep", "n", F.explode(F.slice("x", F.lit(1), prefix.cast("int"))).alias("x")).select("rep", "n", "x.e")
+    alone = F.col("n") - F.size("x")
+    prefix = F.col("n") - F.ceil(F.col("n") * threshold) + 1 - alone
+    probes = ordered.where(prefix > 0).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("x", F.lit(1), prefix.cast("int"))).alias("at", "x"))
+    probes = probes.select("rep", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left_over"), "x.e")
     a, b = probes.alias("a"), probes.alias("b")
-    sizes = (F.col("a.n") >= threshold * F.col("b.n")) & (F.col("b.n") >= threshold * F.col("a.n"))
+    needed = (F.col("a.n") + F.col("b.n")) * (threshold / (1 + threshold)) - 1e-6
+    sizes = (F.col("a.n") >= threshold * F.col("b.n")) & (F.col("b.n") >= threshold * F.col("a.n")) & (F.col("a.left_over") >= needed) & (F.col("b.left_over") >= needed)
     pairs = a.join(b, (F.col("a.e") == F.col("b.e")) & (F.col("a.rep") < F.col("b.rep")) & sizes).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    left = classes.select(F.col("rep").alias("a"), F.col("s").alias("sa"))
-    right = classes.select(F.col("rep").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").withColumn("score", jaccard(F.col("sa"), F.col("sb"))).where(F.col("score") >= threshold).select("a", "b", "score")
+    left = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    right = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(left, "a").join(right, "b").withColumn("score", both / (F.col("na") + F.col("nb") - both)).where(F.col("score") >= threshold).select("a", "b", "score")
 
 
 def equal_links(df: DataFrame, key: str, value: Column) -> DataFrame:
@@ -62,12 +79,29 @@ def equal_links(df: DataFrame, key: str, value: Column) -> DataFrame:
 
 def near_duplicate_clusters(df: DataFrame, key: str, text: str, threshold: float = 0.85) -> DataFrame:
     """Every row with its component under similarity of masked 4-word shingles; rows without words are one cluster."""
-    sets = similarity_shingles(F.col(text))
-    prepared = df.select(key, sets.alias("s"))
-    digests = stored(prepared.select(key, F.sha2(F.array_join(F.array_sort("s"), "\n"), 256).alias("digest")), "digests")
-    equal = equal_links(digests, key, F.col("digest"))
-    near = similar_pairs(prepared, key, F.col("s"), threshold).select("a", "b")
-    return graph.labelled(df.select(key).distinct(), equal.unionByName(near), key)
+    return clusters_of_sets(df, key, similarity_shingles(F.col(text)), threshold)
+
+
+def clusters_of_sets(df: DataFrame, key: str, sets: Column, threshold: float) -> DataFrame:
+    """Every row with its component under similarity of sets; rows with empty sets are one cluster."""
+    rows = stored(hashed_sets(df, key, sets), "sets")
+    empty = graph.linked(df.select(F.col(key).alias("id"), F.lit("").alias("link"), sets.alias("s")).where(F.size("s") == 0).drop("s"))
+    edges = empty.unionByName(graph.linked(rows.select("id", F.col("digest").alias("link")))).unionByName(_similar_pairs(rows, threshold).select("a", "b"))
+    return graph.labelled(df.select(key).distinct(), edges, key)
+
+
+def one_of_each(df: DataFrame, key: str, value: Column) -> DataFrame:
+    """df with one row, that of the smallest key, for each value: copies make no candidates."""
+    first = df.groupBy(F.sha2(value.cast("string"), 256).alias("_value")).agg(F.min(key).alias(key)).select(key)
+    return df.join(first, key, "left_semi")
+
+
+def confirmed_pairs(pairs: DataFrame, df: DataFrame, key: str, sets: Column, threshold: float) -> DataFrame:
+    """Candidate pairs (a, b) whose sets have that Jaccard similarity at least, with it."""
+    rows = hashed_sets(df, key, sets)
+    x = pairs.select("a", "b").distinct().join(rows.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")), "a").join(rows.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb")), "b")
+    both = F.size(F.array_intersect("sa", "sb"))
+    return x.withColumn("score", both / (F.col("na") + F.col("nb") - both)).where(F.col("score") >= threshold).select("a", "b", "score")
 
 
 def minhash(df: DataFrame, key: str, sets: Column, slots: int = 64) -> DataFrame:
@@ -76,6 +110,19 @@ def minhash(df: DataFrame, key: str, sets: Column, slots: int = 64) -> DataFrame
     return x.groupBy("id").agg(*(F.min(F.xxhash64(F.lit(k), "e")).alias(f"m{k}") for k in range(slots))).select("id", F.array(*(f"m{k}" for k in range(slots))).alias("signature"))
 
 
+#: The largest prime below 2 ** 31 (a fixed value): products of two numbers below it fit a long.
+PRIME = (1 << 31) - 1
+
+
+def universal_minhash(df: DataFrame, key: str, sets: Column, slots: int = 128, seed: int = 1) -> DataFrame:
+    """(id, signature) of classic MinHash: slot k is the least (a_k * x + b_k) mod a prime over the elements' 31-bit hashes x, in built-in functions and one aggregation."""
+    r = np.random.default_rng(seed)
+    a, b = r.integers(1, PRIME, slots).tolist(), r.integers(0, PRIME, slots).tolist()
+    x = df.select(F.col(key).alias("id"), F.explode(sets).alias("e")).select("id", F.pmod(F.xxhash64("e"), F.lit(PRIME).cast("long")).alias("x"))
+    least = [F.min((F.col("x") * F.lit(a[k]).cast("long") + F.lit(b[k]).cast("long")) % F.lit(PRIME).cast("long")).alias(f"m{k}") for k in range(slots)]
+    return x.groupBy("id").agg(*least).select("id", F.array(*(f"m{k}" for k in range(slots))).alias("signature"))
+
+
 def one_permutation(df: DataFrame, key: str, sets: Column, slots: int = 64) -> DataFrame:
     """(id, signature): one hash picks the slot, a second the value; empty slots are filled from the next one that isn't."""
     if slots <= 0 or slots & (slots - 1):
@@ -105,7 +152,7 @@ def one_permutation(df: DataFrame, key: str, sets: Column, slots: int = 64) -> D
 
 
 def band_pairs(signatures: DataFrame, bands: int = 16, rows: int = 4) -> DataFrame:
-    """Candidate pairs (a, b), a < b, that agree in all slots of a band; distinct. No cap on a band's bucket."""
+    """Candidate pairs (a, b), a < b, that agree in all slots of a band; distinct. No cap on a band's bucket: give one row of each copy (one_of_each)."""
     keys = F.array(*(F.xxhash64(F.lit(k), F.slice("signature", k * rows + 1, rows)) for k in range(bands)))
     banded = signatures.select("id", "signature", F.posexplode(keys).alias("band", "key"))
     a, b = banded.alias("a"), banded.alias("b")
@@ -114,24 +161,33 @@ def band_pairs(signatures: DataFrame, bands: int = 16, rows: int = 4) -> DataFra
     return x.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.round(agree, 4).alias("score")).distinct()
 
 
+def _part_choices(most: int) -> tuple[int, list[tuple[int, ...]]]:
+    """Number of parts of a hash, and the choices of parts of which one must be equal if at most ``most`` bits differ: of most + k parts, k at least are."""
+    k = 3 if most <= 4 else 2 if most <= 9 else 1
+    return most + k, list(itertools.combinations(range(most + k), k))
+
+
 def hamming_pairs(df: DataFrame, key: str, value: str, most: int, block: tuple[str, ...] = (), bits: int = 64) -> DataFrame:
-    """All pairs (a, b, distance) of 64-bit hashes at most that far apart, exactly: bit i is in part i mod (most + 1), and one part must be equal.
+    """All pairs (a, b, distance) of 64-bit hashes at most that far apart, exactly.
 
+    A hash has more parts than bits may differ, so several parts are equal; hashes are joined on each
+    choice of as many parts, which are long keys that few hashes share. Bit i is in part i mod the number of parts.
     Equal hashes are put together first (of each block), so that a common hash makes no pairs with itself.
     """
     if not 0 <= most < bits:
         raise ValueError("distance must be from 0 to the width less one")
     reps = df.where(F.col(value).isNotNull()).groupBy(*block, F.col(value).alias("hash")).agg(F.min(key).alias("id"))
-    masks = [sum(1 << i for i in range(p, bits, most + 1)) for p in range(most + 1)]
+    n, choices = _part_choices(most)
+    masks = [sum(1 << i for i in range(bits) if i % n in c) for c in choices]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     parts = F.array(*(F.col("hash").bitwiseAND(F.lit(m).cast("long")) for m in signed))
     probes = reps.select(*block, "id", "hash", F.posexplode(parts).alias("part", "bits"))
     a, b = probes.alias("a"), probes.alias("b")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in block]
-    on = (F.col("a.part") == F.col("b.part")) & (F.col("a.bits") == F.col("b.bits")) & (F.col("a.id") < F.col("b.id"))
+    on = (F.col("a.part") == F.col("b.part")) & (F.col("a.bits") == F.col("b.bits")) & (F.col("a.id") < F.col("b.id")) & (hamming(F.col("a.hash"), F.col("b.hash")) <= most)
     for c in same:
         on = on & c
-    x = a.join(b, on).withColumn("distance", hamming(F.col("a.hash"), F.col("b.hash"))).where(F.col("distance") <= most)
+    x = a.join(b, on).withColumn("distance", hamming(F.col("a.hash"), F.col("b.hash")))
     return x.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), "distance").distinct()
 
 

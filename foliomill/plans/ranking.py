@@ -27,7 +27,7 @@ def hash_split(s: SparkSession, d: str) -> DataFrame:
 
 
 def component_split(s: SparkSession, d: str) -> DataFrame:
-    """Exact 90/5/5 split of copies' components; the greedy part is sequential, so no SQL."""
+    """Exact 90/5/5 split of copies' components."""
     members = splits.assign(_components(s, d), "doc_id")
     return members.select("doc_id", "component", "split")
 
@@ -65,7 +65,7 @@ def nested_subsets(s: SparkSession, d: str) -> DataFrame:
 
 def audit_sample(s: SparkSession, d: str) -> DataFrame:
     docs = read(s, d, "documents")
-    return sampling.audit_sample(docs, "doc_id", "source", "lang", ["lang"], 10_000).select("doc_id", "source")
+    return sampling.audit_sample(docs, "doc_id", "source", "lang", ["lang"]).select("doc_id", "source")
 
 
 def weighted_layouts(s: SparkSession, d: str) -> DataFrame:
@@ -94,14 +94,16 @@ def running_rank(s: SparkSession, d: str) -> DataFrame:
 
 
 def fallbacks(s: SparkSession, d: str) -> DataFrame:
-    wanted = s.createDataFrame([(1, "form", "law"), (2, "form", "art"), (3, "book", "art"), (4, "none", "law")], "id long, layout string, domain string")
-    corpus = s.createDataFrame([("a", ["form"], "law"), ("b", ["form", "table"], "tax"), ("c", ["table"], "law")], "record string, layouts array<string>, domain string")
-    return sampling.with_fallback(wanted, corpus, "layout", "domain").select("id", "level", "record")
+    """Parts for each customer's nation and segment: of both, else of the nation, else any; how many there are, and the first. Suppliers stand for records, nations for layouts."""
+    wanted = read(s, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("layout"), (F.col("c_custkey") % 40).cast("string").alias("domain"))
+    corpus = read(s, d, "supplier").where("s_nationkey > 2").select("s_suppkey", F.array(F.col("s_nationkey").cast("string"), F.lit("all")).alias("layouts"), (F.col("s_suppkey") % 40).cast("string").alias("domain")).withColumnRenamed("s_suppkey", "record")
+    return sampling.with_fallback(wanted, corpus, "layout", "domain").groupBy("id", "level").agg(F.count(F.lit(1)).alias("records"), F.min("record").alias("first"))
 
 
 def phrase_pool(s: SparkSession, d: str) -> DataFrame:
-    part = lambda lang: read(s, d, "documents").where(F.col("lang") == lang).select(F.substring("text", 1, 20).alias("phrase"))
-    return sampling.phrase_pool(part("de"), part("fr"), part("es"), "phrase").groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
+    """Lines of the documents in three languages, as often as the pool takes each language; by SHA-256."""
+    part = lambda lang: read(s, d, "documents").where(F.col("lang") == lang).select(F.explode(F.split("text", "\n")).alias("phrase"))
+    return sampling.phrase_pool(part("de"), part("fr"), part("es"), "phrase").groupBy(F.sha2("phrase", 256).alias("phrase")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def cells(s: SparkSession, d: str) -> DataFrame:
@@ -120,7 +122,7 @@ def variants(s: SparkSession, d: str) -> DataFrame:
 
 
 def planned_pages(s: SparkSession, d: str) -> DataFrame:
-    """Pages planned for as many documents as there are; draws are hashes, so no SQL is needed to repeat them."""
+    """Pages planned for as many documents as there are."""
     return sampling.plan(s, read(s, d, "documents").count(), 3, LAYOUTS, {"kk": 0.5, "ky": 0.5}, {"clean": 0.7, "worn": 0.3})
 
 
@@ -237,7 +239,18 @@ SELECT kind, sum(k * (k - 1) // 2)::BIGINT AS overlap FROM (SELECT kind, v, coun
     "stratified_rank": f"WITH t AS (SELECT *, row_number() OVER (PARTITION BY lang, source, quality ORDER BY h, doc_id) AS turn FROM {_L}) SELECT doc_id, row_number() OVER (ORDER BY turn, lang, source, quality) - 1 AS rank FROM t",
     "nested_subsets": f"""WITH t AS (SELECT *, ['train', 'val', 'test'][doc_id % 3 + 1] AS split FROM {_L}), u AS (SELECT *, row_number() OVER (PARTITION BY split, lang, quality ORDER BY h, doc_id) AS turn FROM t),
 r AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY turn, lang, quality) - 1 AS rank FROM u) SELECT doc_id, split, rank < 5 AS in_tiny, rank < 20 AS in_medium, CASE WHEN rank < 5 THEN 'tiny,' ELSE '' END || CASE WHEN rank < 20 THEN 'medium,' ELSE '' END || 'large' AS subsets FROM r""",
-    "audit_sample": f"""WITH t AS (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY h, doc_id) AS turn FROM {_L}), p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY turn, lang) AS place FROM t) SELECT doc_id, source FROM p ORDER BY place, source LIMIT 100""",
+    "audit_sample": f"""WITH n AS (SELECT count(*) AS n, CASE WHEN count(*) >= 100000 THEN 500 WHEN count(*) >= 25000 THEN 250 WHEN count(*) >= 10000 THEN 100 ELSE count(*) END AS k FROM documents),
+t AS (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY h, doc_id) AS turn FROM {_L}), p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY turn, lang) AS place FROM t),
+q AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN n >= 100000 AND (turn <= 5 OR place <= 20) THEN 0 ELSE 1 END, place, source) AS r FROM p, n) SELECT doc_id, source FROM q WHERE r <= k""",
+    "component_split": """WITH RECURSIVE n AS (SELECT count(*) AS n, round_even(count(*) * 0.9, 0)::BIGINT AS ta, round_even(count(*) * 0.05, 0)::BIGINT AS tb FROM documents), t AS (SELECT ta, tb, n - ta - tb AS tc FROM n),
+comp AS (SELECT min(doc_id) AS component, count(*) AS size, sha256(min(doc_id::VARCHAR)) AS hash FROM documents GROUP BY text), multi AS (SELECT *, row_number() OVER (ORDER BY size DESC, hash) AS k FROM comp WHERE size > 1),
+g AS (SELECT 0::BIGINT AS k, 0::BIGINT AS a, 0::BIGINT AS b, 0::BIGINT AS c, NULL::BIGINT AS component, '' AS split UNION ALL
+  SELECT k, a + CASE WHEN split = 'train' THEN size ELSE 0 END, b + CASE WHEN split = 'val' THEN size ELSE 0 END, c + CASE WHEN split = 'test' THEN size ELSE 0 END, component, split
+  FROM (SELECT mk AS k, a, b, c, size, component, CASE WHEN ra <= rb AND ra <= rc THEN 'train' WHEN rb <= rc THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT a, b, c, m.size, m.component, m.k AS mk, CASE WHEN a + size <= ta THEN a / ta ELSE 9 END AS ra, CASE WHEN b + size <= tb THEN b / tb ELSE 9 END AS rb, CASE WHEN c + size <= tc THEN c / tc ELSE 9 END AS rc FROM g JOIN multi m ON m.k = g.k + 1, t) x)),
+last AS (SELECT * FROM g ORDER BY k DESC LIMIT 1), one AS (SELECT component, row_number() OVER (ORDER BY hash, component) - 1 AS r FROM comp WHERE size = 1),
+placed AS (SELECT component, split FROM g WHERE k > 0 UNION ALL SELECT component, CASE WHEN r < ta - a THEN 'train' WHEN r < ta - a + tb - b THEN 'val' ELSE 'test' END FROM one, t, (SELECT a, b FROM last))
+SELECT doc_id, component, split FROM documents JOIN (SELECT text, min(doc_id) AS component FROM documents GROUP BY 1) USING (text) JOIN placed USING (component)""",
     "weighted_layouts": f"WITH b AS (SELECT doc_id, ({_HEX.format('doc_id::VARCHAR', 8)} % 10000) / 10000.0::DOUBLE AS u FROM documents) SELECT doc_id, CASE WHEN u < 0.5 THEN 'book' WHEN u < 0.8 THEN 'form' ELSE 'table' END AS layout, ['portrait', 'portrait', 'landscape'][doc_id % 3 + 1] AS orientation FROM b",
     "tiers": f"WITH b AS (SELECT doc_id, {_HEX.format('doc_id::VARCHAR', 8)} % 100 AS b FROM documents) SELECT doc_id, CASE WHEN b < 60 THEN 'clean' WHEN b < 85 THEN 'light' ELSE 'strong' END AS tier, (('0x' || substr(sha256('7:' || doc_id || ':0'), 1, 16))::UBIGINT)::VARCHAR AS seed FROM b",
     "features": f"""WITH i(item, weight) AS (VALUES {", ".join(f"('{a}', {b}::DOUBLE)" for a, b in FEATURES)}), s AS (SELECT doc_id, item, ln({_UNIT.format("doc_id || ':' || item")} + 1.1102230246251565e-16) / weight AS score FROM documents, i)
@@ -245,8 +258,14 @@ SELECT * FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY sc
     "effects": f"""WITH e(effect, chance, weight) AS (VALUES {", ".join(f"('{a}', {b}::DOUBLE, {c}::DOUBLE)" for a, b, c in EFFECTS)}), s AS (SELECT doc_id, effect, weight, {_UNIT.format("doc_id || ':' || effect")} < chance AS drawn FROM documents, e),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY drawn DESC, weight DESC, effect) AS place FROM s) SELECT doc_id, effect, drawn FROM r WHERE drawn OR place <= 3""",
     "running_rank": "SELECT doc_id, coalesce(sum((lang = 'fr')::INT) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM documents",
-    "fallbacks": "SELECT id::BIGINT AS id, level, record FROM (VALUES (1, 'both', 'a'), (2, 'layout', 'a'), (2, 'layout', 'b'), (3, 'any', 'a'), (3, 'any', 'b'), (3, 'any', 'c'), (4, 'any', 'a'), (4, 'any', 'b'), (4, 'any', 'c')) v(id, level, record)",
-    "phrase_pool": "SELECT phrase, sum(k)::BIGINT AS n FROM (SELECT substr(text, 1, 20) AS phrase, CASE WHEN lang = 'es' THEN 1 ELSE 3 END AS k FROM documents WHERE lang IN ('de', 'fr', 'es')) GROUP BY 1",
+    "fallbacks": """WITH w AS (SELECT c_custkey AS id, c_nationkey::VARCHAR AS layout, c_custkey % 40 AS domain FROM customer), c AS (SELECT s_suppkey AS record, s_nationkey::VARCHAR AS layout, s_suppkey % 40 AS domain FROM supplier WHERE s_nationkey > 2),
+b AS (SELECT layout, domain, count(*) AS n, min(record) AS first FROM c GROUP BY 1, 2), o AS (SELECT layout, count(*) AS n, min(record) AS first FROM c GROUP BY 1), e AS (SELECT count(*) AS n, min(record) AS first FROM c)
+SELECT id, CASE WHEN b.n > 0 THEN 'both' WHEN o.n > 0 THEN 'layout' ELSE 'any' END AS level, coalesce(b.n, o.n, e.n) AS records, coalesce(b.first, o.first, e.first) AS first FROM w LEFT JOIN b USING (layout, domain) LEFT JOIN o USING (layout), e""",
+    "phrase_pool": "SELECT sha256(phrase) AS phrase, sum(k)::BIGINT AS n FROM (SELECT unnest(string_split(text, chr(10))) AS phrase, CASE WHEN lang = 'es' THEN 1 ELSE 3 END AS k FROM documents WHERE lang IN ('de', 'fr', 'es')) GROUP BY 1",
+    "planned_pages": f"""WITH p AS (SELECT 'page_' || lpad(i::VARCHAR, 8, '0') AS page_id, i AS index FROM range(0, (SELECT count(*) FROM documents)) r(i)),
+u AS (SELECT *, {", ".join(_UNIT.format(f"'3:' || page_id || ':{n}'") + f" AS {n}" for n in ("layout", "language", "quality", "orientation"))} FROM p)
+SELECT page_id, index, CASE WHEN layout < 0.5 THEN 'book' WHEN layout < 0.8 THEN 'form' ELSE 'table' END AS layout_id, CASE WHEN language < 0.5 THEN 'kk' ELSE 'ky' END AS language_mix, CASE WHEN quality < 0.7 THEN 'clean' ELSE 'worn' END AS quality_profile,
+  CASE WHEN orientation < 0.1 THEN 'landscape' ELSE 'portrait' END AS orientation FROM u""",
     "cells": """WITH t AS (SELECT n_nationkey, n_nationkey * 13 + 200 AS w, unnest(range(0, n_nationkey % 4 + 1)) AS row FROM nation), e AS (SELECT *, [0, floor(w * (1.0::DOUBLE / 4.5))::INT, floor(w * (3.0::DOUBLE / 4.5))::INT, w] AS x FROM t)
 SELECT n_nationkey, row::INT AS row, c::INT AS col, x[c + 1] AS x1, x[c + 2] AS x2 FROM e, (VALUES (0), (1), (2)) v(c)""",
     "entity_pool": "SELECT n_name, r_name FROM nation, region ORDER BY sha256('11:' || n_name || ':' || r_name), n_name, r_name LIMIT 40",

@@ -27,8 +27,9 @@ def matched_in_order(s: SparkSession, d: str) -> DataFrame:
 
 
 def defaulted_arrays(s: SparkSession, d: str) -> DataFrame:
-    turns = read(s, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    ids = s.range(0, 1200).select(F.col("id").alias("conv_id")).union(turns.select("conv_id").where("conv_id is not null")).distinct()
+    """Turns by document number: none for most documents, whose conversations don't exist; and by all conversations."""
+    turns = read(s, d, "conversations").where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    ids = read(s, d, "documents").select(F.col("doc_id").alias("conv_id")).union(turns.select("conv_id")).distinct()
     return relate.with_default_array(ids, turns, "conv_id", "turns").select("conv_id", F.array_join(F.transform("turns", lambda t: t.cast("string")), ",").alias("turns"))
 
 
@@ -79,13 +80,19 @@ def appended_texts(s: SparkSession, d: str) -> DataFrame:
 
 
 def set_differences(s: SparkSession, d: str) -> DataFrame:
-    docs = read(s, d, "documents")
-    return relate.differences(docs.where("doc_id % 2 = 0").select("lang", "source"), docs.where("doc_id % 3 = 0").select("lang", "source")).groupBy("side", "lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    """Languages and sources of labelled documents against those of the others, with multiplicity."""
+    labelled, others = _labelled_and_others(s, d)
+    return relate.differences(labelled, others).groupBy("side", "lang", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
 def shared_values(s: SparkSession, d: str) -> DataFrame:
-    docs = read(s, d, "documents")
-    return docs.where("doc_id % 2 = 0").select("lang", "source").intersect(docs.where("doc_id % 3 = 0").select("lang", "source"))
+    labelled, others = _labelled_and_others(s, d)
+    return labelled.intersect(others)
+
+
+def _labelled_and_others(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs, labels = read(s, d, "documents"), read(s, d, "labels")
+    return docs.join(labels, "doc_id", "left_semi").select("lang", "source"), docs.join(labels, "doc_id", "left_anti").select("lang", "source")
 
 
 def similar_documents(s: SparkSession, d: str) -> DataFrame:
@@ -98,14 +105,24 @@ def near_duplicate_clusters(s: SparkSession, d: str) -> DataFrame:
 
 
 def band_candidates(s: SparkSession, d: str) -> DataFrame:
-    """Pairs that agree in a band, with the share of equal slots: no SQL for 64 hashes; recall is tested against similar_documents."""
-    docs = read(s, d, "documents")
-    return similarity.band_pairs(similarity.minhash(docs, "doc_id", similarity.token_shingles(F.col("text")))).where("score >= 0.82")
+    """Pairs of different texts that agree in a band of their 64 minima, confirmed on their token shingles: a pair at 0.85 is missed with chance 7e-6."""
+    docs = similarity.one_of_each(read(s, d, "documents"), "doc_id", F.col("text"))
+    sets = similarity.token_shingles(F.col("text"))
+    return similarity.confirmed_pairs(similarity.band_pairs(similarity.minhash(docs, "doc_id", sets)), docs, "doc_id", sets, 0.85).withColumn("score", F.round("score", 6))
 
 
 def one_permutation_candidates(s: SparkSession, d: str) -> DataFrame:
-    docs = read(s, d, "documents")
-    return similarity.band_pairs(similarity.one_permutation(docs, "doc_id", similarity.candidate_shingles(F.col("text")))).where("score >= 0.82")
+    """As band_candidates, with one permutation and word shingles."""
+    docs = similarity.one_of_each(read(s, d, "documents"), "doc_id", F.col("text"))
+    sets = similarity.candidate_shingles(F.col("text"))
+    return similarity.confirmed_pairs(similarity.band_pairs(similarity.one_permutation(docs, "doc_id", sets), 32, 2), docs, "doc_id", sets, 0.85).withColumn("score", F.round("score", 6))
+
+
+def universal_candidates(s: SparkSession, d: str) -> DataFrame:
+    """As band_candidates, with 128 universal hashes modulo a prime."""
+    docs = similarity.one_of_each(read(s, d, "documents"), "doc_id", F.col("text"))
+    sets = similarity.token_shingles(F.col("text"))
+    return similarity.confirmed_pairs(similarity.band_pairs(similarity.universal_minhash(docs, "doc_id", sets), 32, 4), docs, "doc_id", sets, 0.85).withColumn("score", F.round("score", 6))
 
 
 def _simhashes(s: SparkSession, d: str) -> DataFrame:
@@ -123,7 +140,7 @@ def hamming_clusters(s: SparkSession, d: str) -> DataFrame:
 def shingle_counts(s: SparkSession, d: str) -> DataFrame:
     docs = read(s, d, "documents")
     text = F.col("text")
-    return docs.select("doc_id", F.size(similarity.token_shingles(text)).alias("token5"), F.size(similarity.candidate_shingles(text)).alias("word4"), F.size(similarity.similarity_shingles(text)).alias("masked4"), F.size(T.character_shingles(F.substring(text, 1, 500))).alias("character5"))
+    return docs.select("doc_id", F.size(similarity.token_shingles(text)).alias("token5"), F.size(similarity.candidate_shingles(text)).alias("word4"), F.size(similarity.similarity_shingles(text)).alias("masked4"), F.size(T.character_shingles(text)).alias("character5"))
 
 
 def marginal_audit(s: SparkSession, d: str) -> DataFrame:
@@ -183,7 +200,7 @@ def text_features(s: SparkSession, d: str) -> DataFrame:
 
 FUNCTIONS = (
     unlabelled, matched_in_order, defaulted_arrays, complete_join, optional_labels, leakage_pairs, leaked_values, leakage_of_benchmark, linkage, existing_files, appended_texts, set_differences, shared_values,
-    similar_documents, near_duplicate_clusters, band_candidates, one_permutation_candidates, hamming_pairs, hamming_clusters, shingle_counts, marginal_audit, unknown_values, shard_drift, joint_audit, family_audit,
+    similar_documents, near_duplicate_clusters, band_candidates, one_permutation_candidates, universal_candidates, hamming_pairs, hamming_clusters, shingle_counts, marginal_audit, unknown_values, shard_drift, joint_audit, family_audit,
     represented, gate_violations, concentration, text_features,
 )
 QUERIES = {f.__name__: f for f in FUNCTIONS}
@@ -203,6 +220,14 @@ _SETS = f"d AS (SELECT doc_id, list_filter(string_split({_MASKED}, ' '), lambda
 _PAIRS = f"{_SETS}, h AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.z = b.z AND a.doc_id < b.doc_id GROUP BY 1, 2), p AS (SELECT a, b, k / (x.n + y.n - k) AS score FROM h JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k / (x.n + y.n - k) >= 0.85)"
 
 
+def _text_pairs(words: str, k: int, joint: str = "' '") -> str:
+    """Pairs of different texts (the first document of each) at 0.85 on shingles of the tokens (a) or of the normalized words (b)."""
+    split = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')" if words == "a" else f"list_filter(string_split({NORM.format('text')}, ' '), lambda x: x <> '')"
+    return f"""f AS (SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text), d AS (SELECT doc_id, {split} AS w FROM f), s AS (SELECT doc_id, unnest({_shingles('w', k, joint)}) AS z FROM d WHERE len(w) > 0), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+h AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.z = b.z AND a.doc_id < b.doc_id GROUP BY 1, 2)
+SELECT a, b, round(k / (x.n + y.n - k), 6) AS score FROM h JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k / (x.n + y.n - k) >= 0.85"""
+
+
 def _closure(edges: str, nodes: str) -> str:
     return f"""sym AS (SELECT a, b FROM {edges} UNION ALL SELECT b, a FROM {edges}), reach AS (SELECT DISTINCT a AS start, a AS node FROM sym UNION SELECT reach.start, sym.b FROM reach JOIN sym ON sym.a = reach.node),
 c AS (SELECT start AS id, min(node) AS component FROM reach GROUP BY 1), members AS (SELECT x.doc_id AS id, coalesce(component, x.doc_id) AS component FROM {nodes} x LEFT JOIN c ON c.id = x.doc_id)"""
@@ -221,7 +246,7 @@ o AS (SELECT source, lang, q, count(*) AS actual FROM l GROUP BY ALL), j AS (SEL
 ORACLES = {
     "unlabelled": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "matched_in_order": "SELECT l_orderkey, string_agg(l_linenumber || ':' || l_returnflag || ':' || o_orderpriority, ',' ORDER BY l_linenumber, l_returnflag, o_orderpriority) AS pairs FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1",
-    "defaulted_arrays": "SELECT i AS conv_id, coalesce(string_agg(turn::VARCHAR, ',' ORDER BY turn), '') AS turns FROM range(0, 1200) r(i) LEFT JOIN conversations ON conv_id = i GROUP BY 1",
+    "defaulted_arrays": "SELECT i AS conv_id, coalesce(string_agg(turn::VARCHAR, ',' ORDER BY turn), '') AS turns FROM (SELECT doc_id AS i FROM documents UNION SELECT conv_id FROM conversations WHERE conv_id IS NOT NULL) LEFT JOIN conversations ON conv_id = i GROUP BY 1",
     "complete_join": "SELECT r_regionkey, r_name, count(*) AS nations FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL",
     "optional_labels": "SELECT doc_id, coalesce(quality::VARCHAR, 'unknown') AS quality FROM documents LEFT JOIN labels USING (doc_id)",
     "leakage_pairs": f"SELECT 'digest' AS field, digest AS value, a.id AS left_id, b.id AS right_id FROM {_HALF.format(0)} a JOIN {_HALF.format(1)} b USING (digest)",
@@ -232,14 +257,17 @@ SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (v) WHERE length(v) > 30""",
 e AS (SELECT k.doc_id AS a, h.b FROM k JOIN (SELECT link, min(doc_id) AS b FROM k GROUP BY 1) h USING (link) WHERE k.doc_id <> h.b), {_closure('e', 'documents')} SELECT id, component FROM members""",
     "existing_files": "SELECT doc_id, 'images/' || source || '.png' AS path, substr(source, 4)::INT % 2 = 0 AS exists FROM documents",
     "appended_texts": "WITH b AS (SELECT * FROM documents WHERE lang <> 'fr') SELECT doc_id, lang FROM b UNION ALL SELECT doc_id, lang FROM documents WHERE (lang = 'fr' OR doc_id % 3 = 0) AND text NOT IN (SELECT text FROM b)",
-    "set_differences": """WITH l AS (SELECT lang, source FROM documents WHERE doc_id % 2 = 0), r AS (SELECT lang, source FROM documents WHERE doc_id % 3 = 0)
+    "set_differences": """WITH l AS (SELECT lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), r AS (SELECT lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
 SELECT side, lang, source, count(*) AS n FROM (SELECT 'left' AS side, * FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) UNION ALL SELECT 'right', * FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l)) GROUP BY ALL""",
-    "shared_values": "SELECT lang, source FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT lang, source FROM documents WHERE doc_id % 3 = 0",
+    "shared_values": "SELECT lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) INTERSECT SELECT lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "similar_documents": f"WITH {_PAIRS}, rep AS (SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, list_sort(list(z)) AS z FROM s GROUP BY 1) GROUP BY z) SELECT a, b, round(score, 6) AS score FROM p WHERE a IN (SELECT doc_id FROM rep) AND b IN (SELECT doc_id FROM rep)",
     "near_duplicate_clusters": f"WITH RECURSIVE {_PAIRS}, {_closure('p', 'documents')} SELECT id AS doc_id, component FROM members",
+    "band_candidates": f"WITH {_text_pairs('a', 5, 'chr(31)')}",
+    "universal_candidates": f"WITH {_text_pairs('a', 5, 'chr(31)')}",
+    "one_permutation_candidates": f"WITH {_text_pairs('b', 4)}",
     "hamming_pairs": f"WITH {_HAMMING}, reps AS (SELECT min(doc_id) AS doc_id FROM sh GROUP BY high, low) SELECT * FROM hp WHERE a IN (SELECT doc_id FROM reps) AND b IN (SELECT doc_id FROM reps)",
     "hamming_clusters": f"WITH RECURSIVE {_HAMMING}, {_closure('hp', 'sh')} SELECT component, count(*) AS size FROM members GROUP BY 1",
-    "shingle_counts": rf"""WITH w AS (SELECT doc_id, substr(text, 1, 500) AS t, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS a, list_filter(string_split({NORM.format('text')}, ' '), lambda x: x <> '') AS b, list_filter(string_split({_MASKED}, ' '), lambda x: x <> '') AS c FROM documents)
+    "shingle_counts": rf"""WITH w AS (SELECT doc_id, text AS t, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS a, list_filter(string_split({NORM.format('text')}, ' '), lambda x: x <> '') AS b, list_filter(string_split({_MASKED}, ' '), lambda x: x <> '') AS c FROM documents)
 SELECT doc_id, CASE WHEN len(a) > 0 THEN len({_shingles('a', 5, 'chr(31)')}) ELSE 0 END::INT AS token5, CASE WHEN len(b) > 0 THEN len({_shingles('b', 4)}) ELSE 0 END::INT AS word4, CASE WHEN len(c) > 0 THEN len({_shingles('c', 4)}) ELSE 0 END::INT AS masked4,
  len(list_distinct(list_transform(range(1, greatest(length(t) - 3, 2)), lambda i: substr(t, i, 5))))::INT AS character5 FROM w""",
     "marginal_audit": f"""WITH t(value, share) AS (VALUES {_values(LANG_TARGETS)}), x AS (SELECT value, share, share * (SELECT count(*) FROM documents) AS expected, coalesce(actual, 0) AS actual FROM t LEFT JOIN (SELECT lang, count(*) AS actual FROM documents GROUP BY 1) ON lang = value),

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -83,6 +84,50 @@ def test_split_keeps_components_whole(spark):
     assert all(len(v) == 1 for v in by.values())
 
 
+def greedy(sizes, targets):
+    """One component after the other to the least filled split with room."""
+    filled, out = [0, 0, 0], []
+    for size in sizes:
+        room = [i for i in range(3) if filled[i] + size <= targets[i]]
+        i = min(room, key=lambda i: (Fraction(filled[i], targets[i]), i))
+        filled[i] += size
+        out.append(i)
+    return out
+
+
+def test_places_are_those_of_the_greedy_order():
+    r = random.Random(9)
+    for _ in range(150):
+        targets = tuple(r.choice((0, 7, 40, 90, 333)) for _ in range(3))
+        sizes, filled, want = sorted((r.choice((2, 3, 5, 9)) for _ in range(60)), reverse=True), (0, 0, 0), []
+        for size in sorted(set(sizes), reverse=True):
+            places = splits.Places(size, filled, targets)
+            n = min(sizes.count(size), sum(places.room))
+            found = [places.split(k) for k in range(n)]
+            want += [(size, i) for i in found]
+            filled = tuple(f + size * places.taken(i, n) for i, f in enumerate(filled))
+            assert filled == tuple(sum(s for s, j in want if j == i) for i in range(3))
+        assert [i for _, i in want] == greedy([s for s, _ in want], targets)
+
+
+def test_audit_floors(spark):
+    """Of a large table the rarest variant has its five rows first, and every layout its twenty."""
+    rows = [(k, "ab"[k % 2], "rare" if k < 6 else "usual", f"l{k % 7}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "id long, layout string, variant string, lang string")
+    found = sampling.audit_sample(df, "id", "layout", "variant", ["lang"], 100_000).collect()
+    assert len(found) == 500 and len({r.id for r in found}) == 500
+    assert {r.id for r in found} >= {0, 1, 2, 3, 4, 5}
+    assert sampling.audit_sample(df, "id", "layout", "variant", ["lang"]).count() == 3000
+
+
+def test_strata_with_nulls(spark):
+    rows = [(k, None if k % 3 else "a", k % 2) for k in range(30)]
+    found = splits.stratified_rank(spark.createDataFrame(rows, "id long, s string, split long"), "id", ["s"], within=("split",)).collect()
+    assert len(found) == 30
+    for part in (0, 1):
+        assert sorted(r["rank"] for r in found if r.split == part) == list(range(15))
+
+
 def test_split_is_refused_without_room(spark):
     rows = [(k, k // 50) for k in range(100)]
     with pytest.raises(ValueError, match="no split has room"):

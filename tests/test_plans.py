@@ -41,6 +41,15 @@ def test_ranks_use_no_global_window_over_rows(spark):
     assert "rangepartitioning" not in plan(ranked)  # the sorted table is stored before it is numbered
 
 
+def test_no_window_holds_a_whole_table(spark):
+    """Windows without keys only number the ranges of a sorted table."""
+    for name in ("stratified_rank", "nested_subsets", "component_split", "audit_sample", "running_rank"):
+        for line in plan(ranking.QUERIES[name](spark, SF)).splitlines():
+            if "windowspecdefinition(" in line:
+                spec = line.split("windowspecdefinition(", 1)[1]
+                assert spec.startswith("_part") or not spec.split(",")[0].rstrip().endswith(("ASC NULLS FIRST", "DESC NULLS LAST")), (name, line)
+
+
 def test_stored_tables_are_in_the_shared_folder(spark):
     t = stored(spark.range(3), "test")
     assert t.count() == 3

@@ -25,6 +25,7 @@ def test_entry(spark):
 
 def test_defaulted_arrays_have_all_conversations(spark, tmp_path):
     spark.createDataFrame([(1, 0), (1199, 0), (1200, 1), (1200, 0), (90_000, 3), (None, 1)], "conv_id long, turn long").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.range(1200).withColumnRenamed("id", "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
     found = {r.conv_id: r.turns for r in registry.QUERIES["defaulted_arrays"](spark, str(tmp_path)).collect()}
     assert len(found) == 1202
     assert {k: t for k, t in found.items() if t} == {1: "0", 1199: "0", 1200: "0,1", 90_000: "3"}
