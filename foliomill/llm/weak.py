@@ -27,6 +27,7 @@ Other columns of the tables don't matter, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -325,20 +326,25 @@ def _share(most: int, n: int) -> int:
     return (1 << 62) * min(most, max(n, 1)) // max(n, 1)
 
 
+def _ample(most: int) -> int:
+    """So many more are taken by estimated shares that there are enough: the estimate is off by 5 % or so, and draws by the square root."""
+    return most + most // 4 + 10 * math.isqrt(most) + 100
+
+
 def _some(rows: DataFrame, most: int) -> DataFrame:
     """The ``most`` distinct rows (id, text, ...) with the smallest hashes of id and text, in the column order.
 
-    An estimate of how many distinct rows there are bounds what is sorted, with three times what is needed to spare.
+    An estimate of how many distinct rows there are bounds what is sorted, with a quarter more than needed to spare, and more of small samples.
     """
     x = rows.where("id is not null").withColumn("order", F.shiftrightunsigned(F.xxhash64("id", "text"), 2))
     n = x.agg(F.approx_count_distinct("order")).first()[0]
-    return x.where(F.col("order") < _share(3 * most, n)).dropDuplicates(["order"]).orderBy("order").limit(most)
+    return x.where(F.col("order") < _share(_ample(most), n)).dropDuplicates(["order"]).orderBy("order").limit(most)
 
 
 def mine(docs: DataFrame, labels: DataFrame, fit_rows: int) -> Mined:
     """Two lists of word beginnings, each from half of at most fit_rows labelled documents. docs: id, text; labels: id, toxic."""
     n = labels.agg(F.approx_count_distinct("id")).first()[0]
-    known = labels.where(F.shiftrightunsigned(F.xxhash64("id"), 2) < _share(3 * fit_rows, n))
+    known = labels.where(F.shiftrightunsigned(F.xxhash64("id"), 2) < _share(_ample(fit_rows), n))
     rows = _some(docs.join(known.hint("shuffle_hash"), "id").where("toxic is not null"), fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,16 +393,27 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(low, len(texts)), pa.array(vote_keys(q)), pa.array(vote_keys(t)), pa.array(np.diff(ends)), pa.array(places, pa.binary())], ["order", "quality", "toxic", "n", "places"])
 
     sample = stored(mapped(_some(docs, fit_rows).select("order", "text"), featured, "order long, quality string, toxic string, n long, places binary"), "sample")
-    sizes = sample.select("order", "n").orderBy("order").collect()  # fit_rows at most
-    within = np.cumsum([r.n for r in sizes]) <= fit_places
-    last = max([0, *(r.order for r, w in zip(sizes, within.tolist(), strict=True) if w)])
-    rows = sorted(sample.where(F.col("order") <= last).collect(), key=lambda r: r.order)  # fit_places places of 4 bytes at most
+    tables = {c: (models[c].chance, models[c].share) for c in ("quality", "toxic")}
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, keys, held = [], {"quality": [], "toxic": []}, 0
+        for b in batches:
+            for q, t, places in zip(*(b.column(k).to_pylist() for k in (1, 2, 4)), strict=True):
+                held += len(places) // 4
+                if held <= fit_places:
+                    rows.append(np.frombuffer(places, np.int32))
+                    keys["quality"].append(_votes_of(q))
+                    keys["toxic"].append(_votes_of(t))
+        if rows:
+            weights = [train(rows, Accuracies(*tables[c]).posterior(np.array(keys[c], np.int64))).tobytes() for c in ("quality", "toxic")]
+            yield pa.RecordBatch.from_arrays([pa.array([w], pa.binary()) for w in weights], ["quality", "toxic"])
+
+    # one task has the sample, fit_places places of 4 bytes at most; two vectors of weights, 1 MB each, reach the driver
+    found = mapped(sample.repartition(1).sortWithinPartitions("order"), trained, "quality binary, toxic binary").collect()
     dropped(sample)
-    if not rows:
+    if not found:
         return None
-    places = [np.frombuffer(r.places, np.int32) for r in rows]
-    weights = {c: train(places, models[c].posterior(np.array([_votes_of(r[c]) for r in rows], np.int64))) for c in ("quality", "toxic")}
-    return Model(models["quality"], models["toxic"], mined, weights["quality"], weights["toxic"])
+    return Model(models["quality"], models["toxic"], mined, *(np.frombuffer(w, np.float32) for w in found[0]))
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
