@@ -17,24 +17,49 @@ from foliomill.functions.unicode import nfc
 from foliomill.schema import ISSUE
 
 #: Zones that each layout must have (fixed values).
+_WORD_LIST = ["title", "range", "entries_left", "entries_right"]
+_FORM = ["title", "fields", "date", "signature"]
+_TABLE = ["title", "table", "note"]
 REQUIRED_ZONES = {
-    "official_statement_page": "recipient applicant doc_number title body attachment_note date signature stamp_safe",
-    "certificate_page": "organization title reference recipient body signature stamp_safe",
-    "official_letter_page": "applicant doc_number date recipient title body attachment_note signature stamp_safe",
-    "memo_page": "sender recipient title subject body signature",
-    "meeting_minutes_page": "organization title meeting_metadata participants agenda decisions signature",
-    "archival_notice_page": "archive_code title catalog_metadata body archive_footer",
-    "lecture_notes_page": "course title outline notes summary",
-    "bulletin_or_newspaper_page": "masthead issue_metadata lead_story column_left column_right footer_note",
-    "historical_newspaper_page": "masthead issue_metadata column_1 column_2 column_3",
+    "official_statement_page": ["recipient", "applicant", "doc_number", "title", "body", "attachment_note", "date", "signature", "stamp_safe"],
+    "certificate_page": ["organization", "title", "reference", "recipient", "body", "signature", "stamp_safe"],
+    "official_letter_page": ["applicant", "doc_number", "date", "recipient", "title", "body", "attachment_note", "signature", "stamp_safe"],
+    "memo_page": ["sender", "recipient", "title", "subject", "body", "signature"],
+    "meeting_minutes_page": ["organization", "title", "meeting_metadata", "participants", "agenda", "decisions", "signature"],
+    "archival_notice_page": ["archive_code", "title", "catalog_metadata", "body", "archive_footer"],
+    "lecture_notes_page": ["course", "title", "outline", "notes", "summary"],
+    "bulletin_or_newspaper_page": ["masthead", "issue_metadata", "lead_story", "column_left", "column_right", "footer_note"],
+    "historical_newspaper_page": ["masthead", "issue_metadata", "column_1", "column_2", "column_3"],
+    "glossary_page": _WORD_LIST,
+    "dictionary_entry_page": _WORD_LIST,
+    "index_page": _WORD_LIST,
+    "simple_form_page": _FORM,
+    "application_form_page": _FORM,
+    "exam_sheet_page": _FORM,
+    "worksheet_page": _FORM,
+    "receipt_like_page": _FORM,
+    "simple_table_page": _TABLE,
+    "registry_extract_page": _TABLE,
+    "syllabus_page": _TABLE,
+    "catalog_entry_page": _TABLE,
+    "invoice_like_page": _TABLE,
+    "schedule_table_page": _TABLE,
+    "exam_register_page": _TABLE,
+    "inventory_sheet_page": _TABLE,
+    "attendance_sheet_page": _TABLE,
+    "wide_schedule_page": _TABLE,
 }
-REQUIRED_ZONES |= dict.fromkeys("glossary_page dictionary_entry_page index_page".split(), "title range entries_left entries_right")
-REQUIRED_ZONES |= dict.fromkeys("simple_form_page application_form_page exam_sheet_page worksheet_page receipt_like_page".split(), "title fields date signature")
-REQUIRED_ZONES |= dict.fromkeys("simple_table_page registry_extract_page syllabus_page catalog_entry_page invoice_like_page schedule_table_page exam_register_page inventory_sheet_page attendance_sheet_page wide_schedule_page".split(), "title table note")
 
-#: Least share of the page's height that content fills, by family of layouts (fixed values).
-HEIGHT_RATIOS = {0.70: "form", 0.65: "table"}
-HEIGHT_RATIO_LAYOUTS = {0.62: "official_statement_page certificate_page official_letter_page memo_page meeting_minutes_page archival_notice_page"}
+#: Least share of the page's height that content fills, by family of layouts and by layout (fixed values).
+FAMILY_HEIGHT_RATIOS = {"form": 0.70, "table": 0.65}
+LAYOUT_HEIGHT_RATIOS = {
+    "official_statement_page": 0.62,
+    "certificate_page": 0.62,
+    "official_letter_page": 0.62,
+    "memo_page": 0.62,
+    "meeting_minutes_page": 0.62,
+    "archival_notice_page": 0.62,
+}
 
 #: Fixed values.
 SAFE_WARNINGS = ("perspective_profile_limited_to_non_geometric_proxy", "stamp_used_default_safe_corner")
@@ -86,8 +111,8 @@ def _map(pairs: dict) -> Column:
 
 
 def required() -> Column:
-    names = F.try_element_at(_map(REQUIRED_ZONES), F.col("layout_id"))
-    return F.coalesce(F.split(names, " "), F.array().cast("array<string>"))
+    names = F.create_map(*(x for layout, zones in REQUIRED_ZONES.items() for x in (F.lit(layout), F.array(*map(F.lit, zones)))))
+    return F.coalesce(F.try_element_at(names, F.col("layout_id")), F.array().cast("array<string>"))
 
 
 # --- rules of a page's structure
@@ -140,7 +165,8 @@ def fonts() -> Column:
 
 def latin_fallback() -> Column:
     native = canonical_language(F.col("language_mix")).isin("kk", "ky")
-    found = lambda z: F.filter(F.array(*map(F.lit, LATIN_FALLBACK)), lambda t: F.contains(F.upper(z["text"]), t))
+    any_of = "|".join(LATIN_FALLBACK)  # most texts have none of them and are looked through once
+    found = lambda z: F.when(F.upper(z["text"]).rlike(any_of), F.filter(F.array(*map(F.lit, LATIN_FALLBACK)), lambda t: F.contains(F.upper(z["text"]), t)))
     return per_zone(lambda z: F.transform(found(z), lambda _: issue("latin_fallback_text", "error", "Latin letters instead of Cyrillic", z["zone_id"])), lambda z: valid(z) & native)
 
 
@@ -315,9 +341,9 @@ def dates_and_signatures() -> Column:
 def ratios_and_densities(min_chars: dict[str, int] | None = None) -> Column:
     family = layout_family(F.col("layout_id"))
     least = F.lit(None).cast("double")
-    for ratio, names in HEIGHT_RATIO_LAYOUTS.items():
-        least = F.when(F.col("layout_id").isin(*names.split()), ratio).otherwise(least)
-    for ratio, name in HEIGHT_RATIOS.items():
+    for layout, ratio in LAYOUT_HEIGHT_RATIOS.items():
+        least = F.when(F.col("layout_id") == layout, ratio).otherwise(least)
+    for name, ratio in FAMILY_HEIGHT_RATIOS.items():
         least = F.when(family == name, ratio).otherwise(least)
     total = lambda types, f: F.coalesce(F.aggregate(F.filter(F.col(Z), lambda z: F.coalesce(is_type(*types)(z), F.lit(False))), F.lit(0), lambda n, z: n + f(z)), F.lit(0))
     visible = F.coalesce(F.aggregate(F.filter(F.col(Z), lambda z: F.coalesce(valid(z) & is_type("body", "form")(z), F.lit(False))), F.lit(0), lambda n, z: n + F.length(F.trim(F.coalesce(z["text"], F.lit(""))))), F.lit(0))
@@ -434,6 +460,22 @@ def pen_artifacts() -> Column:
     return F.concat(F.coalesce(F.transform(partial, lambda _: issue("incomplete_pen_metadata", "error", "a mark isn't described in full")), _none()), when(F.size(crossing) > LIMITS["pen_crossings"], issue("pen_body_crossing_budget", "error", "too many marks cross the text")))
 
 
+def _page_text() -> Column:
+    """Texts of zones and cells by lines."""
+    return F.array_join(F.flatten(F.transform(F.col(Z), lambda z: F.concat(F.array(z["text"]), F.coalesce(F.transform(z["cells"], lambda c: c["text"]), F.array().cast("array<string>"))))), "\n")
+
+
+#: Characters that are their own normal form C and never part of another's: Latin, Greek and Cyrillic letters, common punctuation.
+_SURELY_NFC = r"\x{0}-\x{2FF}\x{391}-\x{482}\x{48A}-\x{52F}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20A0}-\x{20BF}\x{2116}"
+#: What a page's text must match for a rule to find anything; most pages match none of these, so their zones aren't looked through.
+GUARDS: dict[str, Callable[[Column], Column]] = {
+    "latin_fallback": lambda text: F.upper(text).rlike("|".join(LATIN_FALLBACK)),
+    "latin_confusable": lambda text: text.rlike(r"\p{IsCyrillic}") & text.rlike(r"\p{IsLatin}"),
+    "unsupported_character": lambda text: text.rlike(f"[{KAZAKH_ONLY}]"),
+    "title_semantic_mismatch": lambda text: text.rlike(TITLE_METADATA),
+    "not_nfc": lambda text: text.rlike(f"[^{_SURELY_NFC}]"),
+}
+
 RULES: dict[str, Callable[[], Column]] = {
     f.__name__: f
     for f in (
@@ -445,22 +487,28 @@ RULES: dict[str, Callable[[], Column]] = {
 
 
 def _nfc_state(pages: DataFrame) -> DataFrame:
-    """pages with _nfc: for each zone whether its text, or a cell's, isn't in normal form C. Texts go to the normalizer in one piece for each page."""
-    joined = F.to_json(F.transform(F.col(Z), lambda z: F.struct(z["text"].alias("t"), F.transform(z["cells"], lambda c: c["text"]).alias("c"))))
+    """pages with _nfc, null for pages in normal form C: for each zone whether its text, or a cell's, isn't. Only texts with other characters than usual go to the normalizer, in one piece for each page."""
+    suspect = F.coalesce(GUARDS["not_nfc"](F.col("_text")), F.lit(False))
+    joined = F.when(suspect, F.to_json(F.transform(F.col(Z), lambda z: F.struct(z["text"].alias("t"), F.transform(z["cells"], lambda c: c["text"]).alias("c")))))
     x = pages.withColumn("_raw", joined).withColumn("_flat", nfc(F.col("_raw")))
     both = lambda c: F.from_json(c, "array<struct<t:string,c:array<string>>>")
     differ = lambda a, b: F.struct((~a["t"].eqNullSafe(b["t"])).alias("own"), (~a["c"].eqNullSafe(b["c"])).alias("cells"))
-    same = F.col("_raw").eqNullSafe(F.col("_flat"))
-    none = F.transform(F.col(Z), lambda z: F.struct(F.lit(False).alias("own"), F.lit(False).alias("cells")))
-    return x.withColumn("_nfc", F.when(same, none).otherwise(F.zip_with(both("_raw"), both("_flat"), differ))).drop("_raw", "_flat")
+    return x.withColumn("_nfc", F.when(F.col("_raw") != F.col("_flat"), F.zip_with(both("_raw"), both("_flat"), differ))).drop("_raw", "_flat")
 
 
 def check(pages: DataFrame, rules: dict[str, Callable[[], Column]] | None = None) -> DataFrame:
     """pages (foliomill.schema.PAGE) with issues and ok."""
     rules = RULES if rules is None else rules
-    x = _nfc_state(pages) if "not_nfc" in rules else pages
-    x = x.withColumn("issues", F.concat(*(rule() for rule in rules.values())))
-    return x.withColumn("ok", ~F.exists("issues", lambda i: i["severity"] == "error")).drop("_nfc")
+    x = pages.withColumn("_text", _page_text())
+    x = _nfc_state(x) if "not_nfc" in rules else x
+    guarded = lambda name, found: F.when(F.coalesce(GUARDS[name](F.col("_text")), F.lit(False)), found).otherwise(_none()) if name in GUARDS else found
+    x = x.withColumn("issues", F.concat(*(guarded(name, rule()) for name, rule in rules.items())))
+    return x.withColumn("ok", ~F.exists("issues", lambda i: i["severity"] == "error")).drop("_nfc", "_text")
+
+
+def issue_rows(checked: DataFrame, *keep: str) -> DataFrame:
+    """One row per issue. Pages without issues fall out only after the arrays were made: a filter on their size would have all rules evaluated twice."""
+    return checked.select(*keep, F.inline_outer("issues")).where("code is not null")
 
 
 def accepted(checked: DataFrame) -> DataFrame:

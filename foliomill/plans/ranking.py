@@ -185,14 +185,14 @@ def pages_of(documents: DataFrame) -> DataFrame:
 def page_rules(s: SparkSession, d: str) -> DataFrame:
     """Issues by code over documents as pages."""
     checked = qa.check(pages_of(read(s, d, "documents")))
-    return checked.select(F.inline("issues")).groupBy("code", "severity").agg(F.count(F.lit(1)).alias("n"))
+    return qa.issue_rows(checked).groupBy("code", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_boxes(s: SparkSession, d: str) -> DataFrame:
     """Two of the rules, for which SQL is short: zones that leave the page, and titles that hold a date or are sparse."""
     rules = {"invalid_zone_box": qa.invalid_zone_box, "empty_page": qa.empty_page}
     checked = qa.check(pages_of(read(s, d, "documents")), rules)
-    return checked.select("page_id", F.inline("issues")).groupBy("page_id", "code").agg(F.count(F.lit(1)).alias("n"))
+    return qa.issue_rows(checked, "page_id").groupBy("page_id", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def manifest_problems(s: SparkSession, d: str) -> DataFrame:

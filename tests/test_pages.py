@@ -1,6 +1,7 @@
 """Functions and rules on nested pages."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +72,16 @@ def test_one_fault_one_code(spark, change, code):
     assert ok == (code in ("empty_ocr_label", "tiny_ocr_box", "title_semantic_mismatch", "invalid_language_mix_ratio", "effect_safety"))
 
 
+def test_every_code_fires(spark):
+    """One page for each code, each of which gives just what it should."""
+    from foliomill.plans import faults
+
+    rows = [p | {"page_id": str(k)} for k, (_, p) in enumerate(faults.FAULTS)]
+    found = {r.page_id: Counter(r.c) for r in qa.check(frame(spark, *rows), faults.RULES).select("page_id", F.transform("issues", lambda i: i["code"]).alias("c")).collect()}
+    assert found == {str(k): Counter(codes) for k, (codes, _) in enumerate(faults.FAULTS)}
+    assert len({c for codes, _ in faults.FAULTS for c in codes}) == 49
+
+
 def test_table_faults(spark):
     cell = {"row": 1, "col": 0, "bbox": [20, 20, 120, 60], "text": "толық мәтін", "polygon": [], "metadata": {"rendered_font_size": 12, "rendered_lines": ["толық"], "rendered_text_y": 10, "rendered_line_height": 14}}
     row = page(layout_id="simple_table_page", content_height_ratio=0.1, zones=[zone("title", "title", [10, 900, 500, 960], "Аты", lines=[LINE]), zone("table", "table", [10, 10, 500, 300], order=1, cells=[cell]), zone("note", "body", [10, 400, 500, 500], "қысқа", order=2)])
