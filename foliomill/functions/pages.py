@@ -150,3 +150,33 @@ def completed(df: DataFrame) -> DataFrame:
         value = value.cast(kind)
         df = df.withColumn(name, F.coalesce(F.col(name), value) if name in df.columns else value)
     return df.withColumn("has_stamp", has_stamp(F.col("stamp_id"), F.col("stamp_text")))
+
+
+#: Letters among which the Latin share is taken; weights of bilingual text; shares of a page without text (fixed values).
+MIX_LETTERS = "A-Za-zА-Яа-яЁёӘәҒғҚқҢңӨөҰұҮүҺһІі"
+BILINGUAL_PRIMARY, BILINGUAL_SECONDARY = 0.68, 0.32
+EMPTY_PRIMARY, EMPTY_SECONDARY, EMPTY_ENGLISH = 0.68, 0.29, 0.03
+
+
+def language_ratio(zones: Column, primary: Column, secondary: Column) -> Column:
+    """Estimated shares of languages by zones' and cells' texts, 3 places, what rounding leaves goes to the primary one; a page of one language has it alone."""
+    parts = F.flatten(F.transform(zones, lambda z: F.concat(F.array(F.struct(z["text"].alias("text"), z["language"].alias("language"))), F.coalesce(F.transform(z["cells"], lambda c: F.struct(c["text"].alias("text"), c["language"].alias("language"))), F.array()))))
+
+    def add(s: Column, x: Column) -> Column:
+        text = F.coalesce(x["text"], F.lit(""))
+        length = F.greatest(F.lit(1), F.length(F.regexp_replace(text, r"^\s+|\s+$", ""))).cast("double")
+        latin = length * F.coalesce(F.try_divide(F.regexp_count(text, F.lit("[A-Za-z]")), F.regexp_count(text, F.lit(f"[{MIX_LETTERS}]"))), F.lit(0.0))
+        rest = F.greatest(F.lit(0.0), length - latin)
+        both, other = F.startswith(F.coalesce(x["language"], F.lit("")), F.lit("bilingual_")), F.coalesce(x["language"] == "ru", F.lit(False))
+        own = F.when(other, 0.0).when(both, rest * BILINGUAL_PRIMARY).otherwise(rest)
+        second = F.when(other, rest).when(both, rest * BILINGUAL_SECONDARY).otherwise(0.0)
+        return F.struct((s["p"] + own).alias("p"), (s["s"] + second).alias("s"), (s["e"] + latin).alias("e"))
+
+    def shares(s: Column) -> Column:
+        total = s["p"] + s["s"] + s["e"]
+        p, q, e = (F.round(F.try_divide(s[k], total), 3) for k in "pse")
+        return F.when(total > 0, F.array(F.round(p + (1.0 - (p + q + e)), 3), q, e)).otherwise(F.array(F.lit(EMPTY_PRIMARY), F.lit(EMPTY_SECONDARY), F.lit(EMPTY_ENGLISH)))
+
+    zero = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("s"), F.lit(0.0).alias("e"))
+    mixed = F.map_from_arrays(F.array(primary, secondary, F.lit("en")), F.aggregate(F.coalesce(parts, F.array()), zero, add, shares))
+    return F.when(secondary.isNull(), F.map_from_arrays(F.array(primary, F.lit("ru"), F.lit("en")), F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0)))).otherwise(mixed)

@@ -21,13 +21,36 @@ LANGUAGES = {
 
 #: Families by layout (fixed values); any other layout is of family "other".
 FAMILIES = {
-    "book": "book_page_single_column book_page_two_columns academic_abstract_page",
-    "official": "official_statement_page official_letter_page",
-    "form": "simple_form_page application_form_page exam_sheet_page worksheet_page receipt_like_page",
-    "table": "simple_table_page registry_extract_page syllabus_page catalog_entry_page invoice_like_page schedule_table_page exam_register_page inventory_sheet_page attendance_sheet_page wide_schedule_page",
-    "specialized": "certificate_page memo_page meeting_minutes_page lecture_notes_page archival_notice_page historical_newspaper_page",
-    "reference": "glossary_page dictionary_entry_page index_page",
-    "structured": "bulletin_or_newspaper_page",
+    "book_page_single_column": "book",
+    "book_page_two_columns": "book",
+    "academic_abstract_page": "book",
+    "official_statement_page": "official",
+    "official_letter_page": "official",
+    "simple_form_page": "form",
+    "application_form_page": "form",
+    "exam_sheet_page": "form",
+    "worksheet_page": "form",
+    "receipt_like_page": "form",
+    "simple_table_page": "table",
+    "registry_extract_page": "table",
+    "syllabus_page": "table",
+    "catalog_entry_page": "table",
+    "invoice_like_page": "table",
+    "schedule_table_page": "table",
+    "exam_register_page": "table",
+    "inventory_sheet_page": "table",
+    "attendance_sheet_page": "table",
+    "wide_schedule_page": "table",
+    "certificate_page": "specialized",
+    "memo_page": "specialized",
+    "meeting_minutes_page": "specialized",
+    "lecture_notes_page": "specialized",
+    "archival_notice_page": "specialized",
+    "historical_newspaper_page": "specialized",
+    "glossary_page": "reference",
+    "dictionary_entry_page": "reference",
+    "index_page": "reference",
+    "bulletin_or_newspaper_page": "structured",
 }
 
 #: Lines of forms that are no running text (fixed values).
@@ -128,7 +151,7 @@ def language_parts(column: Column) -> tuple[Column, Column]:
 
 
 def layout_family(column: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for family, layouts in FAMILIES.items() for layout in layouts.split() for x in (layout, family)])
+    known = F.create_map(*[F.lit(x) for pair in FAMILIES.items() for x in pair])
     return F.coalesce(F.try_element_at(known, F.coalesce(column, F.lit(""))), F.lit("other"))
 
 
@@ -197,3 +220,21 @@ def dates_in(column: Column) -> Column:
 def plus_days(date: Column, days: int) -> Column:
     """dd.mm.yyyy plus days, as dd.mm.yyyy."""
     return F.date_format(F.date_add(F.to_date(date, "dd.MM.yyyy"), days), "dd.MM.yyyy")
+
+
+def json_structure(column: Column) -> Column:
+    """Of a JSON text: depth of the deepest member, number of values and keys, length of the longest string (escapes count as one character)."""
+    string = r'"(?:[^"\\]|\\.)*+"'
+    strings = F.regexp_extract_all(column, F.lit(string), F.lit(0))
+    longest = F.coalesce(F.array_max(F.transform(strings, lambda t: F.length(F.regexp_replace(t, r"\\(?:u[0-9A-Fa-f]{4}|.)", "x")) - 2)), F.lit(0))
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(column, string, "s"), r"\s+", ""), r"\{\}|\[\]", "e")
+    open_ = F.length(F.regexp_replace(bare, r"[^\[{]", ""))
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    deepest = F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda s, m: let_depth(s, m), lambda s: s["most"])
+    items = open_ + F.length(F.regexp_replace(bare, "[^,:]", "")) + 1
+    return F.struct(deepest.alias("depth"), items.alias("items"), longest.alias("longest_string"))
+
+
+def let_depth(state: Column, mark: Column) -> Column:
+    now = state["now"] + F.when(mark.isin("[", "{"), 1).when(mark.isin("]", "}"), -1).otherwise(0)
+    return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))

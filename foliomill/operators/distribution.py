@@ -125,6 +125,42 @@ def gates(joined: DataFrame, marginals: DataFrame, unknowns: DataFrame, absent_f
     return absent.unionByName(far).unionByName(off).unionByName(new)
 
 
+#: Gates (fixed values): variants that a family needs from so many pages on; codes that count as overlap, truncation and mismatch.
+LEAST_VARIANTS, VARIANTS_FROM = 12, 50
+RENDERING_GATES = {
+    "overlaps": ("form_field_overlap", "glyph_intersection_neighboring_cells", "glyph_intersection_label_value"),
+    "truncations": ("rendered_text_truncated", "table_cell_text_truncated", "required_zone_empty"),
+    "mismatches": ("table_cell_text_truncated", "rendered_text_mismatch", "rendered_text_outside_cell"),
+}
+
+
+def variant_gate(rows: DataFrame, family: str, variant: str, least: int = LEAST_VARIANTS, from_rows: int = VARIANTS_FROM) -> DataFrame:
+    """(gate, bucket): families with enough rows that show too few variants; null and empty variants don't count."""
+    found = rows.groupBy(family).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.nullif(F.col(variant).cast("string"), F.lit(""))).alias("variants"))
+    return found.where((F.col("n") >= from_rows) & (F.col("variants") < least)).select(F.lit("variants").alias("gate"), F.col(family).cast("string").alias("bucket"))
+
+
+def coverage_gate(rows: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """(gate, bucket): by column the wanted values that no row has. wanted: a listed handful of values."""
+    pairs = rows.sparkSession.createDataFrame([(c, v) for c, values in wanted.items() for v in values], "dimension string, value string")
+    have = rows.select(F.inline(F.array(*(F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in wanted)))).distinct()
+    return pairs.join(have, ["dimension", "value"], "left_anti").select(F.lit("zero_coverage").alias("gate"), F.concat_ws(":", "dimension", "value").alias("bucket"))
+
+
+def rendering_gate(issues: DataFrame, small_fonts: DataFrame | None = None) -> DataFrame:
+    """(gate, n): how many issues count as overlap, truncation and mismatch, where there are any. issues: code; small_fonts: of rendering(), with small_fonts."""
+    kinds = F.array(*(F.when(F.col("code").isin(*codes), F.lit(gate)) for gate, codes in RENDERING_GATES.items()))
+    found = issues.select(F.explode(F.array_compact(kinds)).alias("gate")).groupBy("gate").agg(F.count(F.lit(1)).alias("n"))
+    if small_fonts is None:
+        return found
+    return found.unionByName(small_fonts.agg(F.sum("small_fonts").alias("n")).where("n > 0").select(F.lit("small_fonts").alias("gate"), "n"))
+
+
+def audit_gate(rows: DataFrame, audited: DataFrame, key: str) -> DataFrame:
+    """(gate, bucket): rows that the audit hasn't seen."""
+    return rows.join(audited.select(key).distinct(), key, "left_anti").select(F.lit("not_audited").alias("gate"), F.col(key).cast("string").alias("bucket"))
+
+
 def enforce(violations: DataFrame, rows: int, hard: bool) -> None:
     """Raise with the first violations if the gates are hard (public profile, or enough rows)."""
     if hard or rows >= 10_000:

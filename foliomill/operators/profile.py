@@ -56,10 +56,12 @@ def entropy(counts: DataFrame, by: tuple[str, ...] = (), n: str = "n", places: i
 
 
 def field_summary(df: DataFrame, by: str, value: str) -> DataFrame:
-    """By field: count, distinct values, their ratio, entropy."""
+    """By field: count, distinct values, their ratio, entropy, and the five most frequent values with their counts (ties to the smaller value)."""
     counts = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("n"))
     sums = counts.groupBy(by).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct_values"))
-    return sums.withColumn("unique_ratio", F.round(F.col("distinct_values") / F.col("total"), 4)).join(entropy(counts, (by,)).drop("effective"), by)
+    best = counts.withColumn("_place", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), value))).where("_place <= 5")
+    best = best.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", value, "n"))), lambda x: F.struct(x[value].alias("value"), x["n"].alias("n"))).alias("top_values"))
+    return sums.withColumn("unique_ratio", F.round(F.col("distinct_values") / F.col("total"), 4)).join(entropy(counts, (by,)).drop("effective"), by).join(best, by)
 
 
 def routed_field(role: Column, key: Column, value: Column) -> Column:

@@ -38,7 +38,8 @@ def title_repeats(s: SparkSession, d: str) -> DataFrame:
 
 
 def field_summary(s: SparkSession, d: str) -> DataFrame:
-    return profile.field_summary(read(s, d, "events"), "event_type", "user_id")
+    found = profile.field_summary(read(s, d, "events"), "event_type", "user_id")
+    return found.withColumn("top_values", F.array_join(F.transform("top_values", lambda x: F.concat_ws(":", x["value"].cast("string"), x["n"].cast("string"))), ","))
 
 
 def entropy(s: SparkSession, d: str) -> DataFrame:
@@ -173,7 +174,8 @@ ORACLES = {
     "top_repeated_lines": f"SELECT line, count(*) AS n FROM {LINES} WHERE length(line) > 0 GROUP BY line HAVING count(*) >= 2 ORDER BY n DESC, line LIMIT 20",
     "title_repeats": "SELECT source, sum(n - 1)::BIGINT AS repeats FROM (SELECT source, trim(string_split(text, chr(10))[1]) AS title, count(*) AS n FROM documents GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY source",
     "field_summary": """WITH c AS (SELECT event_type, user_id, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2)
-SELECT event_type, sum(n)::BIGINT AS total, count(*) AS distinct_values, round(count(*)::DOUBLE / sum(n), 4) AS unique_ratio, round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4) AS entropy FROM c GROUP BY 1""",
+SELECT event_type, sum(n)::BIGINT AS total, count(*) AS distinct_values, round(count(*)::DOUBLE / sum(n), 4) AS unique_ratio, round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4) AS entropy,
+  string_agg(user_id || ':' || n, ',' ORDER BY place) FILTER (place <= 5) AS top_values FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS place FROM c) GROUP BY 1""",
     "entropy": """WITH c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2)
 SELECT source, abs(round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4)) AS entropy, round(pow(2.0::DOUBLE, abs(round(log2(sum(n)::DOUBLE) - sum(n * log2(n)) / sum(n), 4))), 4) AS effective FROM c GROUP BY 1""",
     "routed_fields": """SELECT coalesce(CASE WHEN contains(event_type, 'status') THEN NULL WHEN contains(event_type, 'name') OR event_type = 'applicant' THEN 'person_name' WHEN regexp_matches(event_type, 'organization|company') THEN 'organization'

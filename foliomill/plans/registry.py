@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliomill.plans import counting, faults, ranking, records, relating
+from foliomill.plans import counting, details, faults, ranking, records, relating
 
-FAMILIES = (counting, relating, ranking, records, faults)
+FAMILIES = (counting, relating, ranking, records, faults, details)
 QUERIES = {name: query for family in FAMILIES for name, query in family.QUERIES.items()}
 ORACLES = {name: sql for family in FAMILIES for name, sql in family.ORACLES.items()}
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from foliomill.functions.text import is_layout_artifact, sanitized
+from foliomill.functions.text import is_layout_artifact, json_structure, sanitized
 from foliomill.workers import ship
 
 #: Guards (fixed values).
@@ -27,13 +27,20 @@ def jsonl_strict(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 def jsonl_guarded(spark: SparkSession, path: str, schema: StructType | str, most_rows: int = MOST_ROWS) -> DataFrame:
-    """As strict, with limits on lines, depth and rows that are checked while rows are read; a path that isn't there is empty."""
+    """As strict, with limits on lines, depth, items, strings and rows that are checked while rows are read; a path that isn't there is empty."""
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(fs_path):
         return spark.createDataFrame([], schema)
     lines = spark.read.text(path).where(F.trim("value") != "")
-    deep = F.length(F.regexp_replace(F.regexp_replace("value", r'"(?:[^"\\]|\\.)*"', ""), r"[^\[{]", "")) > MOST_ITEMS
-    guarded = F.when(F.length("value") > LONGEST_LINE, F.raise_error(F.lit("a line is too long"))).when(~F.ltrim("value").startswith("{"), F.raise_error(F.lit("a line is no object"))).when(deep, F.raise_error(F.lit("a line nests too much"))).otherwise(F.col("value"))
+    x = lines.withColumn("shape", json_structure(F.when(F.length("value") <= LONGEST_LINE, F.col("value"))))
+    faults = {
+        "a line is too long": F.length("value") > LONGEST_LINE, "a line is no object": ~F.ltrim("value").startswith("{"), "a line nests too deep": F.col("shape.depth") > DEEPEST,
+        "a line has too many items": F.col("shape.items") > MOST_ITEMS, "a string is too long": F.col("shape.longest_string") > LONGEST_STRING,
+    }
+    guarded = F.col("value")
+    for message, fault in reversed(faults.items()):
+        guarded = F.when(F.coalesce(fault, F.lit(False)), F.raise_error(F.lit(message))).otherwise(guarded)
+    lines = x
     rows = lines.select(F.from_json(guarded, schema if isinstance(schema, StructType) else StructType.fromDDL(schema), {"mode": "FAILFAST"}).alias("row")).select("row.*")
     if rows.limit(most_rows + 1).count() > most_rows:
         raise ValueError(f"more than {most_rows} rows")

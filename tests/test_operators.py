@@ -1,5 +1,6 @@
 """Operators against plain Python: graphs, similarity, splits, sampling, files, streams."""
 
+import hashlib
 import itertools
 import random
 from fractions import Fraction
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from foliomill.functions.text import json_structure
 from foliomill.functions.unicode import normalize_text
 from foliomill.operators import gallery, graph, release, sampling, similarity, splits
 from foliomill.plans import ranking, relating
@@ -186,6 +188,43 @@ def test_files(spark, tmp_path):
         write.shard_range("7", 5)
 
 
+def test_guards_of_json_lines(spark, tmp_path, monkeypatch):
+    nested = lambda n, inner: "{\"a\": " + "[" * n + inner + "]" * n + "}"
+    bad = {"deep": nested(32, "1"), "items": '{"a": [' + ",".join("1" * 1 for _ in range(100_001)) + "]}", "object": "[1]", "string": '{"a": ["' + "x" * 40 + '"]}'}
+    good = [nested(31, "1"), nested(32, ""), '{"a": ["\\"[[[[", {}, []]}', '{"a": []}']
+    monkeypatch.setattr(read, "LONGEST_STRING", 39)
+    for name, line in bad.items():
+        (tmp_path / name).write_text(line + "\n")
+        with pytest.raises(Exception, match="too deep|too many items|no object|string is too long"):
+            read.jsonl_guarded(spark, f"file://{tmp_path}/{name}", "a string").collect()
+    (tmp_path / "good").write_text("\n".join(good) + "\n")
+    assert read.jsonl_guarded(spark, f"file://{tmp_path}/good", "a string").count() == 4
+    shapes = spark.createDataFrame([(g,) for g in ('{"a": [1, {"b": "c\\n\\u00e9"}], "d": {}}', "{}", "7")], "j string").select(json_structure(F.col("j")).alias("x")).collect()
+    assert [tuple(r.x) for r in shapes] == [(3, 9, 3), (0, 1, 0), (0, 1, 0)]
+
+
+def test_small_things(spark, tmp_path):
+    assert release.canonical_digest({"b": 1, "a": "é", "metrics": 5}) == release.canonical_digest({"a": "é", "b": 1}) == hashlib.sha256('{"a":"é","b":1}'.encode()).hexdigest()
+    assert release.run_signature("x", "y") == hashlib.sha256(b"x\ny").hexdigest()
+    assert read.run_summary({"total": 3, "accepted": 2, "rejected": 1}, None) == {"total": 3, "accepted": 2, "rejected": 1}
+    assert read.run_summary(None, {"counts": {"total": 4}}) == {"total": 4, "accepted": 0, "rejected": 0}
+    assert read.front_matter("---\na: 1\n---\ntext") == {"a": 1}
+    (tmp_path / "c.json").write_text('{"x": 0.5}')
+    assert [tuple(r) for r in read.config_rows(spark, read.config(f"{tmp_path}/c.json")).collect()] == [("x", 0.5)]
+    assert [r.path.rsplit("/", 1)[1] for r in read.listing(spark, f"file://{tmp_path}", "*.json").collect()] == ["c.json"]
+    (tmp_path / "lines.txt").write_text("жай мәтін\n# no\n\n____\n")
+    assert read.phrases(spark, f"file://{tmp_path}/lines.txt").count() == 1
+    state = {"mtime": 1, "size": 2}
+    assert gallery.is_fresh(state, state, list(gallery.COLUMNS)) and not gallery.is_fresh(state, state | {"size": 3}, list(gallery.COLUMNS))
+    rows = spark.createDataFrame([(1, "a", "train"), (2, "a", "val"), (3, "b", "val")], "id long, component string, split string")
+    with pytest.raises(ValueError, match="component a"):
+        splits.enforce_no_leakage(rows)
+    splits.enforce_no_leakage(rows.where("id > 1"))
+    assert sampling.paragraphs(spark.range(5), "id", ["one.", "two.", "three."]).where("length(paragraph) > 0").count() == 5
+    merged = graph.clusters(graph.components(spark.createDataFrame([(2, 1), (3, 2)], "a long, b long"))).first()
+    assert (merged["first"], merged["members"], merged["size"]) == (1, [1, 2, 3], 3)
+
+
 def test_archives_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([(f"p{k}", "train" if k < 7 else "val", b"\x89PNG" + bytes([k]), "{}") for k in range(10)], "page_id string, split string, image binary, json string")
     shards = write.tar_shards(write.sharded(rows, 3, "split", "page_id")).collect()
