@@ -7,10 +7,14 @@
    key, first by signature, then on their full shingle sets: a star for each
    bucket, never all pairs of it.  The pair with the best signature of each
    document is confirmed first; of the rest, only pairs whose ends are still apart.
-3. Members of a bucket that are still in different components after that are
+3. The smallest id of a large family may be one of those least like the rest.
+   Buckets whose members are still in different components after that get
+   another centre, drawn for each bucket, SPREADS times; as a document is in many
+   buckets, it meets many centres.
+4. Members of a bucket that are even then in different components are
    compared with each other where their rarest shingles allow a link, so that no
    link in a bucket is lost and no pairs are made of those that are merely alike.
-4. Components come from alternating large-star and small-star.
+5. Components come from alternating large-star and small-star.
 
 With 45 bands of 5 rows a pair at similarity 0.75 shares no band with
 probability 5e-6, at 0.8 with 2e-8.  The signature test lets all pairs pass that are within
@@ -33,7 +37,7 @@ from foliomill.llm.common import Remembered, dropped, mapped, mixed, split_join,
 from foliomill.llm.components import components
 from foliomill.llm.shingles import digest, shingle_set, similar
 
-BANDS, ROWS, PERCENT = 45, 5, 75
+BANDS, ROWS, PERCENT, SPREADS = 45, 5, 75, 2
 #: Signatures that agree in a smaller share are not compared on full sets.
 LEAST_AGREEMENT = PERCENT / 100 - 6 * (PERCENT / 100 * (1 - PERCENT / 100) / (BANDS * ROWS)) ** 0.5
 
@@ -175,10 +179,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = pairs.select(F.coalesce("rep_a", "a").alias("a"), F.coalesce("rep_b", "b").alias("b"), "share").where("a != b")
     pairs = stored(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "share").distinct(), "pairs")
     texts = stored(texts_of(df, _ends(pairs), id_col, text_col), "texts")
-    best = pairs.groupBy("a").agg(F.max(F.struct("share", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
-    stars = components(confirmed(best, texts, percent))
-    more = confirmed(_apart(pairs.select("a", "b"), stars), texts, percent)
-    stars = components(stars.unionByName(more))
+    stars = joined_up(pairs, None, texts, percent)
+    for turn in range(SPREADS):
+        stars = spread(df, sketch, hits, moved, stars, turn, id_col, text_col, percent)
 
     rest = stored(still_apart(df, sketch, hits, moved, stars, id_col, text_col, percent), "apart")
     rest = agreeing(rest, signatures_of_reps(sketch, moved)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -186,8 +189,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not rest.isEmpty():
         stars = components(stars.unionByName(confirmed(rest, texts_of(df, _ends(rest), id_col, text_col), percent)))
 
-    for table in (hits, pairs, texts, rest):
-        dropped(table)
+    dropped(hits, pairs, texts, rest)
     of_copies = moved.join(stars.select(F.col("a").alias("rep"), F.col("b").alias("of")), "rep", "left").select("id", F.coalesce("of", "rep").alias("of"))
     of_reps = stars.select(F.col("a").alias("id"), F.col("b").alias("of"))
     component = of_copies.unionByName(of_reps).groupBy("id").agg(F.min("of").alias("component_id"))
@@ -195,6 +197,37 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def joined_up(pairs: DataFrame, stars: DataFrame | None, texts: DataFrame, percent: int) -> DataFrame:
+    """Components with the links among pairs (a, b, share): the likeliest pair of each a is confirmed first, then those whose ends are still apart."""
+    best = pairs.groupBy("a").agg(F.max(F.struct("share", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
+    links = confirmed(best, texts, percent)
+    stars = components(links if stars is None else stars.unionByName(links))
+    return components(stars.unionByName(confirmed(_apart(pairs.select("a", "b"), stars), texts, percent)))
+
+
+def bucket_members(hits: DataFrame, moved: DataFrame, stars: DataFrame) -> DataFrame:
+    """(key, id, of) of bucket members, heads aside, in buckets whose members are in different components."""
+    members = hits.select("key", "id").join(moved, "id", "left").select("key", F.coalesce("rep", "id").alias("id")).distinct()
+    members = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("of")), "id", "left").select("key", "id", F.coalesce("of", "id").alias("of"))
+    open_keys = members.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("key")
+    return split_join(members, open_keys, "key")
+
+
+def spread(df: DataFrame, sketch: DataFrame, hits: DataFrame, moved: DataFrame, stars: DataFrame, turn: int, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Components after members of open buckets were compared with a centre that is drawn for each bucket: one pair for each member, whatever the bucket's size."""
+    opened = stored(bucket_members(hits, moved, stars), "opened")
+    drawn = F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("h"), "id", "of")).alias("c")
+    centres = opened.groupBy("key").agg(drawn).select("key", F.col("c.id").alias("centre"), F.col("c.of").alias("centre_of"))
+    pairs = split_join(opened, centres, "key").where("of != centre_of").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = stored(agreeing(pairs, signatures_of_reps(sketch, moved)), "spread")
+    if not pairs.isEmpty():
+        texts = stored(texts_of(df, _ends(pairs), id_col, text_col), "texts")
+        stars = joined_up(pairs, stars, texts, percent)
+        dropped(texts)
+    dropped(opened, pairs)
+    return stars
+
+
 def signatures_of_reps(sketch: DataFrame, moved: DataFrame) -> DataFrame:
     """Signatures by class representative."""
     x = sketch.where("sig is not null").select("id", "sig").join(moved, "id", "left")
@@ -221,11 +254,8 @@ def still_apart(df: DataFrame, sketch: DataFrame, hits: DataFrame, moved: DataFr
     in both.  A document's prefix is cut by the smallest size in its buckets.
     Shingles that one component alone has in its prefixes make no pairs.
     """
-    members = hits.select("key", "id").join(moved, "id", "left").select("key", F.coalesce("rep", "id").alias("id")).distinct()
-    members = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("of")), "id", "left").select("key", "id", F.coalesce("of", "id").alias("of"))
     sizes = sketch.where("id is not null").groupBy("id").agg(F.max("n_shingles").alias("n"))
-    open_keys = members.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high").select("key")
-    opened = stored(split_join(members, open_keys, "key").join(sizes, "id"), "open")
+    opened = stored(bucket_members(hits, moved, stars).join(sizes, "id"), "open")
     least = opened.groupBy("key").agg(F.min("n").alias("least"))
     who = split_join(opened, least, "key").groupBy("id").agg(F.min("of").alias("of"), F.min("least").alias("least"))
     # required overlap: percent / (100 + percent) of both sizes together; the smaller size is percent of the larger at least
