@@ -113,11 +113,12 @@ def shingles(words: Column, k: int, joint: str = " ") -> Column:
 
 
 def character_shingles(column: Column, k: int = 5) -> Column:
-    def of(t: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - (k - 1), F.lit(1))), lambda i: F.substring(t, i, F.lit(k)))
-        return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(windows))
+    """Distinct k characters in a row; a shorter text as a whole, none of an empty one. Characters are cut once: substring() would look for each place from the text's start."""
+    def of(c: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(c, i, F.lit(k)), ""))
+        return F.array_distinct(windows)
 
-    return let(column, of)
+    return F.when(column == "", F.array().cast("array<string>")).otherwise(let(F.split(column, ""), of))
 
 
 def masked_digits(column: Column) -> Column:
