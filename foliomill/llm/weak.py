@@ -344,8 +344,8 @@ def _some(rows: DataFrame, most: int) -> DataFrame:
 def mine(docs: DataFrame, labels: DataFrame, fit_rows: int) -> Mined:
     """Two lists of word beginnings, each from half of at most fit_rows labelled documents. docs: id, text; labels: id, toxic."""
     n = labels.agg(F.approx_count_distinct("id")).first()[0]
-    known = labels.where(F.shiftrightunsigned(F.xxhash64("id"), 2) < _share(_ample(fit_rows), n))
-    rows = _some(docs.join(known.hint("shuffle_hash"), "id").where("toxic is not null"), fit_rows)
+    known = labels.where(F.shiftrightunsigned(F.xxhash64("id"), 2) < _share(_ample(fit_rows), n)).orderBy(F.xxhash64("id")).limit(2 * _ample(fit_rows))
+    rows = _some(docs.join(F.broadcast(known), "id").where("toxic is not null"), fit_rows)  # ids of the sample: the limit is twice what the share lets pass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -417,13 +417,15 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, p_quality, p_toxic (6 decimals), kept. Weights are 2 MB whatever the input. Without a model (no documents): no rows."""
-    sent = docs.sparkSession.sparkContext.broadcast(model and (model.quality_weights, model.toxic_weights))
+    """One row per row of docs: id, p_quality, p_toxic (6 decimals), kept. Weights are 2 MB whatever the input. Without a model (no documents with an id): no chances, all kept."""
+    if model is None:
+        none = F.lit(None).cast("double")
+        return docs.select(F.col(id_col).cast("long").alias(id_col), none.alias("p_quality"), none.alias("p_toxic"), F.lit(True).alias("kept"))
+    sent = docs.sparkSession.sparkContext.broadcast((model.quality_weights, model.toxic_weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = None
+        score = Scorer(*sent.value)
         for b in batches:
-            score = score or Scorer(*sent.value)
             for low, texts in pieces(b.column(1)):
                 good, bad = score(texts)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(low, len(texts)), pa.array(good), pa.array(bad), pa.array(kept(good, bad))], ["id", "p_quality", "p_toxic", "kept"])

@@ -431,6 +431,8 @@ def test_repeated_rows_and_labels_without_use(spark):
     model = weak.fit(docs, labels, fit_rows=50)
     assert weak.scored(docs, model).count() == 601
     assert weak.fit(docs, labels.limit(0), fit_rows=50, fit_places=1) is None  # room for no document
+    nameless = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert weak.scored(nameless, weak.fit(nameless, labels)).where("kept").count() == weak.filtered(nameless, None).count() == 601
 
 
 def test_held_out_accuracy(spark):
