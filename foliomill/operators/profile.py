@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliomill.functions.text import case_class, line_pattern, or_unknown
+from foliomill.functions.text import case_class, line_pattern, or_unknown, trimmed
 
 
 def group_count(df: DataFrame, *columns: str) -> DataFrame:
@@ -78,7 +78,7 @@ def routed_field(role: Column, key: Column, value: Column) -> Column:
 
 def lines_of(df: DataFrame, text: str, *keep: str, longer_than: int = 0) -> DataFrame:
     """One row per trimmed line longer than that."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda t: F.length(t) > longer_than)
+    lines = F.filter(F.transform(F.split(text, "\n"), trimmed), lambda t: F.length(t) > longer_than)
     return df.select(*keep, F.explode(lines).alias("line"))
 
 
